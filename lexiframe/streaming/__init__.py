@@ -1,0 +1,6 @@
+"""Empty on purpose: the jobs rebuilt here are all batch jobs.
+
+The row-wise operators (splitting, tokenising, stop-word filtering, hash splits,
+model scoring) contain no batch-only step and can be applied to a streaming
+DataFrame as they are.
+"""
