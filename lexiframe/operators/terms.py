@@ -19,19 +19,26 @@ def word_count(df: DataFrame, words: str = "words") -> DataFrame:
     )
 
 
+def by_document(df: DataFrame, id_col: str) -> DataFrame:
+    """Place documents by id, while they are still plain text.
+
+    Term counts, top-n windows and regrouping by document then all run where the
+    document is. Moving the text is several times cheaper than moving its
+    (document, word) pairs.
+    """
+    return df.repartition(id_col)
+
+
 def term_counts(df: DataFrame, id_col: str, words: str = "words", keep: tuple = ()) -> DataFrame:
     """``(id, *keep, word, tf, first_pos)``, one row per distinct word of a document.
 
-    The documents are moved once, while they are still token arrays. The counts
-    below, and any window by document above, then need no further shuffle. A
-    document without words gives one row with a null word.
+    A document without words gives one row with a null word. Needs no shuffle after
+    ``by_document``.
     """
     return (
-        df.select(id_col, *keep, words)
-        .repartition(id_col)
-        .select(id_col, *keep, F.posexplode_outer(words).alias("pos", "word"))
+        df.select(id_col, *keep, F.posexplode_outer(words).alias("_at", "word"))
         .groupBy(id_col, *keep, "word")
-        .agg(F.count("word").alias("tf"), F.min("pos").alias("first_pos"))
+        .agg(F.count("word").alias("tf"), F.min("_at").alias("first_pos"))
     )
 
 

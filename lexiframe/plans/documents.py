@@ -6,7 +6,7 @@ from ..functions.text import literal_split
 from ..operators.labels import label_ids
 from ..operators.rows import content_and_label, label_last, split_records
 from ..operators.runs import label_dictionary, run_number
-from ..operators.terms import KEYWORDS_PER_DOCUMENT, keywords
+from ..operators.terms import KEYWORDS_PER_DOCUMENT, by_document, keywords
 from ..operators.tokens import remove_stopwords, tokenize
 
 
@@ -33,7 +33,8 @@ def scoring_set(
     n: int = KEYWORDS_PER_DOCUMENT,
 ) -> DataFrame:
     """``content^^label`` lines to ``(pos, label, words)`` with the top keywords."""
-    rows = content_and_label(split_records(lines.select(pos, value), "^^", value))
+    lines = by_document(lines.select(pos, value), pos)
+    rows = content_and_label(split_records(lines, "^^", value))
     tokens = remove_stopwords(tokenize(rows, "content", mode), stopwords)
     return keywords(tokens, idf, pos, n=n, keep=("label",))
 
