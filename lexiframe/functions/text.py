@@ -14,8 +14,12 @@ def _col(c) -> Column:
 
 
 def literal_split(c, delimiter: str) -> Column:
-    """Split on a literal delimiter and keep every empty field."""
-    return F.split(_col(c), rf"\Q{delimiter}\E", -1)
+    """Split on a literal delimiter and keep every empty field.
+
+    A pattern of one plain character is split without the regex engine.
+    """
+    plain = len(delimiter) == 1 and (delimiter.isalnum() or delimiter in " ,:;\t\n")
+    return F.split(_col(c), delimiter if plain else rf"\Q{delimiter}\E", -1)
 
 
 def strip(c) -> Column:

@@ -5,12 +5,13 @@ needs no vector as long as the vocabulary, and the same steps can be written in
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.scratch import materialise
 from .lookup import lookup_join
-from .terms import MIN_DOCUMENTS, VOCABULARY_SIZE, term_counts, vocabulary
+from .terms import MIN_DOCUMENTS, VOCABULARY_SIZE, term_counts
 
 
 @dataclass
@@ -39,20 +40,29 @@ def train_bayes(
     size: int = VOCABULARY_SIZE,
     min_df: int = MIN_DOCUMENTS,
 ) -> BayesTable:
-    """Count words per class over the vocabulary and smooth by one."""
+    """Count the vocabulary's words per class in one pass and smooth by one."""
     classes = class_priors(df, label).orderBy("label").collect()  # one row per class
-    vocab = materialise(vocabulary(df, words, size, min_df).select("word"), "vocabulary")
-    per_class = (
-        df.select(F.col(label).alias("label"), F.explode(words).alias("word"))
+    names = [f"n{i}" for i in range(len(classes))]
+    lists = F.array(F.col(words), F.array_distinct(words))
+    seen = (
+        df.select(F.col(label).alias("label"), F.posexplode(lists).alias("kind", "list"))
+        .select("label", "kind", F.explode("list").alias("word"))
         .groupBy("word")
         .agg(
+            F.count_if(F.col("kind") == 1).alias("df"),
             *[
-                F.count_if(F.col("label") == row["label"]).alias(f"n{i}")
-                for i, row in enumerate(classes)
-            ]
+                F.count_if((F.col("kind") == 0) & (F.col("label") == row["label"])).alias(name)
+                for name, row in zip(names, classes)
+            ],
         )
     )
-    counts = materialise(lookup_join(per_class, vocab, "word", "inner"), "class-words")
+    counts = materialise(
+        seen.where(F.col("df") >= min_df)
+        .withColumn("n", reduce(Column.__add__, [F.col(name) for name in names]))
+        .orderBy(F.desc("n"), "word")
+        .limit(size),
+        "class-words",
+    )
     totals = counts.agg(
         F.count(F.lit(1)).alias("v"),
         *[F.sum(f"n{i}").alias(f"t{i}") for i in range(len(classes))],

@@ -114,13 +114,15 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def outliers(df: DataFrame, column: str, whisker: float = 1.5) -> DataFrame:
-    """The rows outside the whiskers of a box plot, in order of ``column``."""
+    """The rows outside the whiskers of a box plot, sorted by ``column``, then the others."""
     quartiles = quantiles(df, column, [0.25, 0.75])
     reach = whisker * (F.col("q1") - F.col("q0"))
     low = quartiles.select(F.col("q0") - reach).scalar()
     high = quartiles.select(F.col("q1") + reach).scalar()
     value = F.col(column)
-    return df.where((value < low) | (value > high)).orderBy(column)
+    return df.where((value < low) | (value > high)).orderBy(
+        column, *[c for c in df.columns if c != column]
+    )
 
 
 def vector_statistics(df: DataFrame, features: str = "features") -> DataFrame:

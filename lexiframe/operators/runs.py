@@ -2,8 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BITS_PER_LEVEL = 21
-LEVELS = 3
+BITS_PER_LEVEL = 16
+LEVELS = 4
 
 
 def _scan(items: DataFrame, window, change: Column) -> DataFrame:
@@ -19,7 +19,7 @@ def _with_offsets(items: DataFrame, level: int) -> DataFrame:
     ``items`` holds ``_key, _first, _last, _n``: a stretch of rows with its first
     and last label and the number of changes inside. Stretches whose keys agree in
     all but the low bits are scanned together; their summary is one stretch of the
-    next level. No window sees more than 2**22 items, whatever the size of the
+    next level. No window sees more than 2**16 items, whatever the size of the
     table or the spread of its keys.
     """
     if level == 0:

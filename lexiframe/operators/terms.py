@@ -50,21 +50,14 @@ def distinct_terms(words: str | Column) -> Column:
 def term_totals(df: DataFrame, words: str = "words") -> DataFrame:
     """``(word, n, df)``: occurrences and documents per word.
 
-    Both counts come from one explode, so only per-task partial sums are moved.
+    Both counts come from one pass, and only per-task partial sums are moved.
     """
-    marks = F.concat(
-        F.transform(
-            words, lambda w: F.struct(w.alias("word"), F.lit(1).alias("n"), F.lit(0).alias("df"))
-        ),
-        F.transform(
-            F.array_distinct(words),
-            lambda w: F.struct(w.alias("word"), F.lit(0).alias("n"), F.lit(1).alias("df")),
-        ),
-    )
+    lists = F.array(F.col(words), F.array_distinct(words))
     return (
-        df.select(F.inline(marks))
+        df.select(F.posexplode(lists).alias("kind", "list"))
+        .select("kind", F.explode("list").alias("word"))
         .groupBy("word")
-        .agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+        .agg(F.count_if(F.col("kind") == 0).alias("n"), F.count_if(F.col("kind") == 1).alias("df"))
     )
 
 

@@ -79,11 +79,12 @@ def segment(
 
 def remove_stopwords(df: DataFrame, stopwords: list[str], words: str = "words") -> DataFrame:
     """Filter token arrays by a list held in the plan; order and copies stay."""
-    remover = StopWordsRemover(
-        inputCol=words, outputCol="_kept", stopWords=stopwords, caseSensitive=True
-    )
-    kept = F.filter("_kept", lambda w: ~blank_or_spaced(w))
-    return remover.transform(df).withColumn(words, kept).drop("_kept")
+    if stopwords:
+        remover = StopWordsRemover(
+            inputCol=words, outputCol="_kept", stopWords=stopwords, caseSensitive=True
+        )
+        df = remover.transform(df).drop(words).withColumnRenamed("_kept", words)
+    return df.withColumn(words, F.filter(words, lambda w: ~blank_or_spaced(w)))
 
 
 def drop_stopwords(tokens: DataFrame, stopwords: DataFrame, word: str = "word") -> DataFrame:

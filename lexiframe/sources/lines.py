@@ -2,6 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..operators.lookup import lookup_join
+from .scratch import materialise
+
 RESULT_SCHEMA = "truth int, prediction double"
 
 
@@ -14,28 +17,29 @@ def number_lines(spark: SparkSession, path: str, value: str = "value") -> DataFr
     """One row per line with its 0-based number ``pos`` in (file, offset) order.
 
     A file block is read by one task from top to bottom, so inside a block the
-    running row id already gives the order. Only the block totals, one row per
-    file block, go through an ordered prefix sum.
+    running row id already gives the order. How files are cut into blocks may change
+    from scan to scan, so the lines are stored once together with their block. Only
+    the block totals, one row per file block, go through an ordered prefix sum.
     """
-    meta = F.col("_metadata")
+    block = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+    )
     rows = spark.read.text(path).select(
-        meta["file_path"].alias("file"),
-        meta["file_block_start"].alias("block"),
+        block.alias("block"),
         F.monotonically_increasing_id().alias("row"),
         F.col("value").alias(value),
     )
-    blocks = rows.groupBy("file", "block").agg(
+    rows = materialise(rows, "numbered-lines")
+    blocks = rows.groupBy("block").agg(
         F.count(F.lit(1)).alias("n"), F.min("row").alias("first_row")
     )
-    in_order = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(
-        "file",
-        "block",
-        "first_row",
-        F.coalesce(F.sum("n").over(in_order), F.lit(0)).alias("start"),
+        "block", "first_row", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
     )
-    return rows.join(starts, ["file", "block"]).select(
-        (F.col("start") + F.col("row") - F.col("first_row")).alias("pos"), value
+    return lookup_join(rows, materialise(starts, "blocks"), "block").select(
+        (F.col("before") + F.col("row") - F.col("first_row")).alias("pos"), value
     )
 
 
