@@ -41,12 +41,16 @@ def cumulative_counts(
     """
     counts = _value_counts(df, column)
     bounds = _bounds(counts, per_window)
-    splits = [-float("inf"), *bounds, float("inf")]
-    if len(splits) > 2:
-        cut = Bucketizer(splits=splits, inputCol="v", outputCol="range", handleInvalid="keep")
-        counts = cut.transform(counts)
-    else:
-        counts = counts.withColumn("range", F.lit(0.0))
+    upto = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if not bounds:  # at most per_window values
+        return counts.withColumn("upto", F.sum("n").over(upto))
+    cut = Bucketizer(
+        splits=[-float("inf"), *bounds, float("inf")],
+        inputCol="v",
+        outputCol="range",
+        handleInvalid="keep",
+    )
+    counts = cut.transform(counts)
     totals = counts.groupBy("range").agg(F.sum("n").alias("range_n"))
     earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..operators.lookup import lookup_join
 from .scratch import materialise
 
-RESULT_SCHEMA = "truth int, prediction double"
+RESULT_SCHEMA = "truth double, prediction double"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -49,7 +49,6 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """``truth<TAB>prediction`` lines; the prediction is written as ``3.0``."""
-    return spark.read.csv(path, sep="\t", schema=RESULT_SCHEMA).select(
-        "truth", F.col("prediction").cast("int").alias("prediction")
-    )
+    """``truth<TAB>prediction`` lines; either number may be written as ``3`` or ``3.0``."""
+    rows = spark.read.csv(path, sep="\t", schema=RESULT_SCHEMA)
+    return rows.select(*[F.col(c).cast("int").alias(c) for c in rows.columns])
