@@ -4,6 +4,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.text import literal_split, strip
+from ..functions.vectors import vector_sum
 from ..operators import metrics, profile, rows, split
 from .registry import Registry, table
 
@@ -219,8 +220,8 @@ STATUS_SQL = "CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END"
 )
 def numeric_vectors(spark, d):
     out = rows.numeric_examples(rows.split_records(_numeric_records(spark, d), ","))
-    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
-    return out.select("o_orderkey", "label", F.round(total, 4).alias("total"))
+    total = F.round(vector_sum("features"), 4).alias("total")
+    return out.select("o_orderkey", "label", total)
 
 
 BUCKET_SQL = "('0x' || substr(md5('234:' || {key}), 1, 8))::BIGINT"

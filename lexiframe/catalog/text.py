@@ -1,12 +1,12 @@
 """Lines, tokens, word counts, term weights and keywords of the documents."""
 
 from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ..functions.vectors import sparse_entries, vector_sum
 from ..operators import terms, tokens
 from ..plans.documents import lines_of, scoring_set, scoring_set_with_ids, training_set_with_ids
-from ..plans.stages import count_stage, hashed_tfidf_stages
+from ..plans.stages import HASH_SIZE, count_stage, hashed_tfidf_stages
 from ..sources.scratch import materialise
 from .registry import Registry, table
 
@@ -248,21 +248,16 @@ def vocabulary(spark, d):
     "vocabulary_counts",
     f"""
     WITH {TOKENS_SQL},
-    vocab AS (SELECT word FROM freq WHERE df >= 2 ORDER BY n DESC, word LIMIT 500)
-    SELECT doc_id, coalesce(total, 0)::DOUBLE AS total, coalesce(different, 0)::INTEGER AS different
-    FROM documents LEFT JOIN (SELECT doc_id, sum(tf) AS total, count(*) AS different
-                              FROM tf JOIN vocab USING (word) GROUP BY doc_id) USING (doc_id)
+    vocab AS (SELECT word, (row_number() OVER (ORDER BY n DESC, word) - 1)::INTEGER AS slot
+              FROM freq WHERE df >= 2)
+    SELECT doc_id, slot, tf::DOUBLE AS n FROM tf JOIN vocab USING (word) WHERE slot < 21000
     """,
 )
 def vocabulary_counts(spark, d):
     words = document_words(spark, d)
-    vectors = count_stage(words, size=500).transform(words)
-    slots = vector_to_array("features")
-    return vectors.select(
-        "doc_id",
-        F.aggregate(slots, F.lit(0.0), lambda a, x: a + x).alias("total"),
-        F.size(F.filter(slots, lambda x: x > 0)).alias("different"),
-    )
+    vectors = count_stage(words).transform(words)
+    entries = vectors.select("doc_id", F.explode(sparse_entries("features")).alias("e"))
+    return entries.select("doc_id", "e.slot", F.col("e.value").alias("n"))
 
 
 @query(
@@ -276,19 +271,18 @@ def vocabulary_counts(spark, d):
 )
 def hashed_term_counts(spark, d):
     words = document_words(spark, d)
-    vectors = HashingTF(inputCol="words", outputCol="features", numFeatures=1000).transform(words)
-    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
-    return vectors.select("doc_id", total.alias("total"))
+    tf = HashingTF(inputCol="words", outputCol="features", numFeatures=HASH_SIZE)
+    return tf.transform(words).select("doc_id", vector_sum("features").alias("total"))
 
 
 @query("hashed_tfidf")
 def hashed_tfidf(spark, d):
     rows = tokens.tokenize(table(spark, d, "documents"), "text", "whitespace_lower")
-    tf, idf = hashed_tfidf_stages(size=1000)
+    tf, idf = hashed_tfidf_stages()
     featured = tf.transform(rows)
     weighted = idf.fit(featured).transform(featured)
-    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
-    return weighted.select("doc_id", F.round(total, 6).alias("total"))
+    entries = weighted.select("doc_id", F.explode(sparse_entries("features")).alias("e"))
+    return entries.select("doc_id", "e.slot", F.round("e.value", 6).alias("weight"))
 
 
 @query(

@@ -2,8 +2,12 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BITS_PER_LEVEL = 16
-LEVELS = 4
+from ..sources.scratch import materialise
+
+# Rows whose keys differ only in the low bits are scanned by one window.
+GROUP_BITS = 16
+# A summary up to this size is scanned by one window.
+MAX_STRETCHES = 1_000_000
 
 
 def _scan(items: DataFrame, window, change: Column) -> DataFrame:
@@ -13,30 +17,33 @@ def _scan(items: DataFrame, window, change: Column) -> DataFrame:
     )
 
 
-def _with_offsets(items: DataFrame, level: int) -> DataFrame:
+def _with_offsets(items: DataFrame) -> DataFrame:
     """Add ``_off``: the label changes seen when an item begins.
 
     ``items`` holds ``_key, _first, _last, _n``: a stretch of rows with its first
-    and last label and the number of changes inside. Stretches whose keys agree in
-    all but the low bits are scanned together; their summary is one stretch of the
-    next level. No window sees more than 2**16 items, whatever the size of the
-    table or the spread of its keys.
+    and last label and the number of changes inside. Groups of neighbours are
+    scanned on their own. Their summary, one stretch per group, is stored and
+    handled the same way until it is small.
     """
-    if level == 0:
-        window = Window.orderBy("_key")
-        return _scan(items, window, ~F.lag("_last", 1, "").over(window).eqNullSafe(F.col("_first")))
-    items = items.withColumn("_group", F.shiftright("_key", BITS_PER_LEVEL))
+    items = items.withColumn("_group", F.shiftright("_key", GROUP_BITS))
     window = Window.partitionBy("_group").orderBy("_key")
     follows = F.row_number().over(window) > 1
     scanned = _scan(items, window, follows & ~F.lag("_last").over(window).eqNullSafe(F.col("_first")))
-    stretches = scanned.groupBy(F.col("_group").alias("_key")).agg(
-        F.min_by("_first", F.col("_key")).alias("_first"),
-        F.max_by("_last", F.col("_key")).alias("_last"),
-        F.sum(F.col("_change") + F.col("_n")).alias("_n"),
-    )
-    starts = _with_offsets(stretches, level - 1).select(
-        F.col("_key").alias("_group"), F.col("_off").alias("_start")
+    stretches = materialise(
+        scanned.groupBy(F.col("_group").alias("_key")).agg(
+            F.min_by("_first", F.col("_key")).alias("_first"),
+            F.max_by("_last", F.col("_key")).alias("_last"),
+            F.sum(F.col("_change") + F.col("_n")).alias("_n"),
+        ),
+        "stretches",
     )
+    if stretches.count() > MAX_STRETCHES:
+        placed = _with_offsets(stretches)
+    else:
+        window = Window.orderBy("_key")
+        previous = F.lag("_last", 1, "").over(window)
+        placed = _scan(stretches, window, ~previous.eqNullSafe(F.col("_first")))
+    starts = placed.select(F.col("_key").alias("_group"), F.col("_off").alias("_start"))
     return (
         scanned.join(starts, "_group")
         .withColumn("_off", F.col("_off") + F.col("_start"))
@@ -48,7 +55,8 @@ def run_number(df: DataFrame, label: str, order: str, out: str = "run_id") -> Da
     """Number the runs of equal labels along ``order``, a unique integer column.
 
     The first run has id 0. As in a loop that starts from an empty previous label,
-    a leading run of empty labels has id -1.
+    a leading run of empty labels has id -1. Reads the table twice: once for the
+    summary, when called, and once for the numbered rows.
     """
     key = F.coalesce(
         F.col(order).cast("long"),
@@ -61,7 +69,7 @@ def run_number(df: DataFrame, label: str, order: str, out: str = "run_id") -> Da
         .withColumn("_n", F.lit(0).cast("long"))
     )
     return (
-        _with_offsets(rows, LEVELS - 1)
+        _with_offsets(rows)
         .withColumn(out, F.col("_off") - 1)
         .drop("_key", "_first", "_last", "_n", "_change", "_off")
     )

@@ -188,12 +188,12 @@ def test_run_number(spark, data):
     assert dict(values(runs.label_dictionary(out), "label", "label_id")) == expected
 
 
-@pytest.mark.parametrize("bits", [2, 16])
-def test_run_number_over_many_levels(spark, monkeypatch, bits):
+@pytest.mark.parametrize("bits, most", [(3, 20), (16, 1000)])
+def test_run_number_over_many_levels(spark, monkeypatch, bits, most):
     import random
 
-    monkeypatch.setattr(runs, "BITS_PER_LEVEL", bits)
-    monkeypatch.setattr(runs, "LEVELS", 6 if bits == 2 else 4)
+    monkeypatch.setattr(runs, "GROUP_BITS", bits)
+    monkeypatch.setattr(runs, "MAX_STRETCHES", most)
     rnd = random.Random(bits)
     keys = sorted(rnd.sample(range(-500, 3000), 400)) + [2**40, 2**62]
     data = [rnd.choice(["a", "b", None, ""]) for _ in keys]
