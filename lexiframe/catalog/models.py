@@ -10,7 +10,7 @@ from ..plans.training import TrainingPlan
 from ..sources import shared_path
 from .registry import Registry, table
 from .rows import BUCKET_SQL
-from .text import TOKENS_SQL, document_words
+from .text import TOKENS_SQL, corpus_words
 
 registry = Registry()
 query = registry.add
@@ -22,7 +22,7 @@ TREES, DEPTH = 10, 15
 
 def labelled_words(spark, d):
     """``(pos, label, words, part)``: every document; part 0 is for training."""
-    words = document_words(spark, d, "lang")
+    words = corpus_words(spark, d, "lang")
     named = words.select(F.col("doc_id").alias("pos"), F.col("lang").alias("label"), "words")
     return split.hash_split(named, "pos", [0.9, 0.1], SEED)
 
@@ -66,14 +66,14 @@ BAYES_SQL = f"""
     "bayes_predictions",
     f"""
     {BAYES_SQL}
-    SELECT doc_id AS pos, lang AS label, prediction, round(score, 4) AS score FROM best WHERE r = 1
+    SELECT doc_id AS pos, lang AS label, prediction, round(score, 2) AS score FROM best WHERE r = 1
     """,
 )
 def bayes_predictions(spark, d):
     docs = labelled_words(spark, d)
     model = bayes.train_bayes(docs.where("part = 0"))
     out = bayes.score_bayes(model, docs, "pos", keep=("label",))
-    return out.withColumn("score", F.round("score", 4))
+    return out.withColumn("score", F.round("score", 2))
 
 
 def _train(spark, d, plan):

@@ -17,15 +17,23 @@ STOPWORDS = 100
 
 
 def one_line(spark, d, *keep):
-    """Documents as single lines, placed by id."""
+    """Documents as single lines."""
     docs = table(spark, d, "documents").select("doc_id", *keep, "text")
-    return terms.by_document(docs, "doc_id").withColumn("text", F.translate("text", "\n", " "))
+    return docs.withColumn("text", F.translate("text", "\n", " "))
+
+
+def _words(docs):
+    return tokens.remove_stopwords(tokens.tokenize(docs, "text"), []).drop("text")
+
+
+def corpus_words(spark, d, *keep):
+    """``(doc_id, *keep, words)`` without empty tokens, documents where they are read."""
+    return _words(one_line(spark, d, *keep))
 
 
 def document_words(spark, d, *keep):
-    """``(doc_id, *keep, words)`` without empty tokens."""
-    rows = tokens.tokenize(one_line(spark, d, *keep), "text")
-    return tokens.remove_stopwords(rows, []).drop("text")
+    """The same, documents placed by id for counts per document."""
+    return _words(terms.by_document(one_line(spark, d, *keep), "doc_id"))
 
 
 def corpus_idf(words, min_df=2):
@@ -152,7 +160,7 @@ registry.sql["segmented_words"] = """
     """,
 )
 def stopword_filter(spark, d):
-    words = document_words(spark, d)
+    words = corpus_words(spark, d)
     stop = [row["word"] for row in common_words(words).collect()]  # STOPWORDS rows
     return tokens.remove_stopwords(words, stop).select(
         "doc_id",
@@ -171,7 +179,7 @@ def stopword_filter(spark, d):
 )
 def stopword_anti_join(spark, d):
     rows = tokens.tokenize(one_line(spark, d), "text")
-    stop = materialise(common_words(document_words(spark, d)), "stopwords")
+    stop = materialise(common_words(corpus_words(spark, d)), "stopwords")
     exploded = rows.select("doc_id", F.posexplode("words").alias("pos", "word"))
     return tokens.drop_stopwords(exploded, stop).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos")
@@ -199,7 +207,7 @@ def term_frequencies(spark, d):
     """,
 )
 def distinct_words(spark, d):
-    out = document_words(spark, d).withColumn("words", terms.distinct_terms("words"))
+    out = corpus_words(spark, d).withColumn("words", terms.distinct_terms("words"))
     return out.where(F.size("words") > 0).select(
         "doc_id", F.size("words").alias("n_words"), F.array_join("words", " ").alias("words")
     )
@@ -210,7 +218,7 @@ def distinct_words(spark, d):
     f"WITH {TOKENS_SQL} SELECT word, df, round(idf, 6) AS idf FROM idf",
 )
 def idf_values(spark, d):
-    out = terms.inverse_document_frequency(document_words(spark, d))
+    out = terms.inverse_document_frequency(corpus_words(spark, d))
     return out.withColumn("idf", F.round("idf", 6))
 
 
@@ -224,7 +232,7 @@ def idf_values(spark, d):
 def idf_lookup(spark, d):
     words = document_words(spark, d)
     counts = terms.term_counts(words, "doc_id").where(F.col("word").isNotNull())
-    idf = corpus_idf(words)
+    idf = corpus_idf(corpus_words(spark, d))
     joined = terms.lookup_join(
         counts.select("doc_id", "word"), idf.select("word", "idf"), "word", hot=terms.hottest(idf)
     )
@@ -241,7 +249,7 @@ def idf_lookup(spark, d):
     """,
 )
 def vocabulary(spark, d):
-    return terms.vocabulary(document_words(spark, d))
+    return terms.vocabulary(corpus_words(spark, d))
 
 
 @query(
@@ -254,7 +262,7 @@ def vocabulary(spark, d):
     """,
 )
 def vocabulary_counts(spark, d):
-    words = document_words(spark, d)
+    words = corpus_words(spark, d)
     vectors = count_stage(words).transform(words)
     entries = vectors.select("doc_id", F.explode(sparse_entries("features")).alias("e"))
     return entries.select("doc_id", "e.slot", F.col("e.value").alias("n"))
@@ -270,7 +278,7 @@ def vocabulary_counts(spark, d):
     """,
 )
 def hashed_term_counts(spark, d):
-    words = document_words(spark, d)
+    words = corpus_words(spark, d)
     tf = HashingTF(inputCol="words", outputCol="features", numFeatures=HASH_SIZE)
     return tf.transform(words).select("doc_id", vector_sum("features").alias("total"))
 
@@ -294,7 +302,7 @@ def hashed_tfidf(spark, d):
     """,
 )
 def tfidf(spark, d):
-    return terms.tfidf(document_words(spark, d), "doc_id")
+    return terms.tfidf(corpus_words(spark, d), "doc_id")
 
 
 @query(
@@ -307,10 +315,10 @@ def tfidf(spark, d):
     """,
 )
 def boosted_tfidf(spark, d):
-    words = document_words(spark, d)
-    boost = materialise(common_words(words).withColumn("ratio", F.lit(1.5)), "boost")
+    words, corpus = document_words(spark, d), corpus_words(spark, d)
+    boost = materialise(common_words(corpus).withColumn("ratio", F.lit(1.5)), "boost")
     counts = terms.term_counts(words, "doc_id").where(F.col("word").isNotNull())
-    return terms.weigh_terms(counts, corpus_idf(words), boost).select("doc_id", "word", "tfidf")
+    return terms.weigh_terms(counts, corpus_idf(corpus), boost).select("doc_id", "word", "tfidf")
 
 
 @query(
@@ -322,7 +330,7 @@ def boosted_tfidf(spark, d):
 )
 def ranked_keywords(spark, d):
     words = document_words(spark, d)
-    ranked = terms.ranked_keywords(words, corpus_idf(words), "doc_id")
+    ranked = terms.ranked_keywords(words, corpus_idf(corpus_words(spark, d)), "doc_id")
     return ranked.where(F.col("word").isNotNull()).select("doc_id", "rank", "word", "tf", "tfidf")
 
 
@@ -337,7 +345,8 @@ def ranked_keywords(spark, d):
 )
 def keyword_lists(spark, d):
     words = document_words(spark, d, "lang")
-    out = terms.keywords(words, corpus_idf(words), "doc_id", keep=("lang",))
+    idf = corpus_idf(corpus_words(spark, d))
+    out = terms.keywords(words, idf, "doc_id", keep=("lang",))
     return out.withColumn("words", F.array_join("words", " "))
 
 
@@ -382,7 +391,7 @@ SCORING_SQL = f"""
 
 
 def _scoring_inputs(spark, d):
-    words = document_words(spark, d)
+    words = corpus_words(spark, d)
     stop = [row["word"] for row in common_words(words).collect()]  # STOPWORDS rows
     return labelled_lines(spark, d, "^^"), corpus_idf(words), stop
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.scratch import materialise
 from .lookup import lookup_join
-from .terms import MIN_DOCUMENTS, VOCABULARY_SIZE, term_counts
+from .terms import MIN_DOCUMENTS, VOCABULARY_SIZE, by_document, term_counts
 
 
 @dataclass
@@ -90,7 +90,7 @@ def score_bayes(
 
     Scores are rounded to six places; equal ones go to the first label.
     """
-    counts = term_counts(df, id_col, words, keep)
+    counts = term_counts(by_document(df, id_col), id_col, words, keep)
     rows = lookup_join(counts, model.words, "word")
     scored = rows.groupBy(id_col, *keep).agg(
         *[

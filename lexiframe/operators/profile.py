@@ -7,6 +7,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..sources.scratch import materialise
+
 VALUES_PER_WINDOW = 1_000_000
 MAX_WINDOWS = 10_000
 
@@ -30,16 +32,13 @@ def _bounds(values: DataFrame, per_window: int) -> list[float]:
     return sorted({c for c in found if math.isfinite(c)})
 
 
-def cumulative_counts(
-    df: DataFrame, column: str, per_window: int = VALUES_PER_WINDOW
-) -> DataFrame:
-    """``(v, n, upto)``: distinct values and how many rows are not above each.
+def cumulative_counts(counts: DataFrame, per_window: int = VALUES_PER_WINDOW) -> DataFrame:
+    """Add ``upto`` to stored ``(v, n)`` counts: how many rows are not above a value.
 
     Equal values are counted before they are moved, and the running sum goes over
     ranges of distinct values, so neither a frequent value nor a long column ends
     up in one task. Only the cut points and the range totals are global.
     """
-    counts = _value_counts(df, column)
     bounds = _bounds(counts, per_window)
     upto = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if not bounds:  # at most per_window values
@@ -71,9 +70,9 @@ def quantiles(
     df: DataFrame, column: str, probabilities: list[float], per_window: int = VALUES_PER_WINDOW
 ) -> DataFrame:
     """One row ``q0..qN``: exact quantiles, interpolated between neighbouring ranks."""
-    ranked = cumulative_counts(df, column, per_window)
-    total = df.agg(F.count(F.col(column).cast("double")).alias("total"))
-    placed = ranked.withColumn("total", total.scalar())
+    counts = materialise(_value_counts(df, column), "value-counts")
+    total = counts.agg(F.sum("n")).scalar()
+    placed = cumulative_counts(counts, per_window).withColumn("total", total)
     found = []
     for i, p in enumerate(probabilities):
         position = F.lit(p) * (F.col("total") - 1)

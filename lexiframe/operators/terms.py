@@ -162,5 +162,5 @@ def keywords(
 def tfidf(df: DataFrame, id_col: str, words: str = "words", min_df: int = 0) -> DataFrame:
     """``(id, word, tf, tfidf)`` over exact words, weights from the table itself."""
     idf = materialise(inverse_document_frequency(df, words, min_df), "idf")
-    counts = term_counts(df, id_col, words).where(F.col("word").isNotNull())
-    return weigh_terms(counts, idf).drop("first_pos")
+    counts = term_counts(by_document(df, id_col), id_col, words)
+    return weigh_terms(counts.where(F.col("word").isNotNull()), idf).drop("first_pos")
