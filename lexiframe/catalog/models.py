@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import bayes, labels, rows, split
 from ..plans import classifiers, scoring, training
 from ..plans.training import TrainingPlan
-from ..sources import shared_path
+from ..sources import shared_path, spread_small
 from .registry import Registry, table
 from .rows import BUCKET_SQL
 from .text import TOKENS_SQL, corpus_words
@@ -192,7 +192,8 @@ def order_examples(spark, d):
         "o_custkey",
         status.otherwise(2).cast("string"),
     )
-    records = table(spark, d, "orders").select("o_orderkey", line.alias("value"))
+    orders = spread_small(table(spark, d, "orders"))
+    records = orders.select("o_orderkey", line.alias("value"))
     return rows.numeric_examples(rows.split_records(records, ","))
 
 

@@ -7,7 +7,7 @@ from ..functions.vectors import sparse_entries, vector_sum
 from ..operators import terms, tokens
 from ..plans.documents import lines_of, scoring_set, scoring_set_with_ids, training_set_with_ids
 from ..plans.stages import HASH_SIZE, count_stage, hashed_tfidf_stages
-from ..sources.scratch import materialise
+from ..sources.scratch import materialise, spread_small
 from .registry import Registry, table
 
 registry = Registry()
@@ -16,24 +16,27 @@ query = registry.add
 STOPWORDS = 100
 
 
-def one_line(spark, d, *keep):
+def documents(spark, d, *keep):
+    return table(spark, d, "documents").select("doc_id", *keep, "text")
+
+
+def one_line(docs):
     """Documents as single lines."""
-    docs = table(spark, d, "documents").select("doc_id", *keep, "text")
     return docs.withColumn("text", F.translate("text", "\n", " "))
 
 
 def _words(docs):
-    return tokens.remove_stopwords(tokens.tokenize(docs, "text"), []).drop("text")
+    return tokens.remove_stopwords(tokens.tokenize(one_line(docs), "text"), []).drop("text")
 
 
 def corpus_words(spark, d, *keep):
     """``(doc_id, *keep, words)`` without empty tokens, documents where they are read."""
-    return _words(one_line(spark, d, *keep))
+    return _words(spread_small(documents(spark, d, *keep)))
 
 
 def document_words(spark, d, *keep):
     """The same, documents placed by id for counts per document."""
-    return _words(terms.by_document(one_line(spark, d, *keep), "doc_id"))
+    return _words(terms.by_document(documents(spark, d, *keep), "doc_id"))
 
 
 def corpus_idf(words, min_df=2):
@@ -74,7 +77,7 @@ WEIGHTS_SQL = """
     """,
 )
 def text_lines(spark, d):
-    return lines_of(table(spark, d, "documents"), "doc_id", "text")
+    return lines_of(spread_small(documents(spark, d)), "doc_id", "text")
 
 
 @query(
@@ -128,7 +131,7 @@ def lower_whitespace_tokens(spark, d):
     """,
 )
 def script_run_tokens(spark, d):
-    return terms.word_count(tokens.tokenize(table(spark, d, "documents"), "text", "regex"))
+    return terms.word_count(tokens.tokenize(spread_small(documents(spark, d)), "text", "regex"))
 
 
 @query("segmented_words")
@@ -178,7 +181,7 @@ def stopword_filter(spark, d):
     """,
 )
 def stopword_anti_join(spark, d):
-    rows = tokens.tokenize(one_line(spark, d), "text")
+    rows = tokens.tokenize(one_line(spread_small(documents(spark, d))), "text")
     stop = materialise(common_words(corpus_words(spark, d)), "stopwords")
     exploded = rows.select("doc_id", F.posexplode("words").alias("pos", "word"))
     return tokens.drop_stopwords(exploded, stop).groupBy("doc_id").agg(
@@ -285,7 +288,7 @@ def hashed_term_counts(spark, d):
 
 @query("hashed_tfidf")
 def hashed_tfidf(spark, d):
-    rows = tokens.tokenize(table(spark, d, "documents"), "text", "whitespace_lower")
+    rows = tokens.tokenize(spread_small(documents(spark, d)), "text", "whitespace_lower")
     tf, idf = hashed_tfidf_stages()
     featured = tf.transform(rows)
     weighted = idf.fit(featured).transform(featured)

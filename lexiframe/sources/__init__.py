@@ -2,7 +2,7 @@
 
 from .dictionaries import last_entry_wins, read_categories, read_idf, read_stopwords
 from .lines import number_lines, read_csv, read_lines, read_results
-from .scratch import materialise, shared_path
+from .scratch import materialise, shared_path, spread_small
 from .sinks import (
     pair_line,
     write_class_accuracy,
@@ -24,6 +24,7 @@ __all__ = [
     "read_results",
     "read_stopwords",
     "shared_path",
+    "spread_small",
     "write_class_accuracy",
     "write_lines",
     "write_pairs",

@@ -29,3 +29,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Share a scanned table among all cores if its scan has fewer tasks than cores.
+
+    A scan cuts whatever exceeds a few MB per core, so only small tables qualify; a
+    large one is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -68,4 +68,4 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_counts_are_combined_before_the_shuffle(spark):
     p = plan(entry.queries()["word_count"](spark, SF))
-    assert p.count("HashAggregate") == 2 and p.count("Exchange") == 1
+    assert p.count("HashAggregate") == 2 and p.count("Exchange hashpartitioning") == 1
