@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..catalog.registry import Registry, table
-from . import repetition
+from . import minhash, repetition
 
 registry = Registry()
 query = registry.add
@@ -13,3 +13,8 @@ QUERIES, SQL = registry.queries, registry.sql
 @query("op9_suffix_repetition")
 def suffix_repetition(spark, d):
     return repetition.quality(table(spark, d, "documents"))
+
+
+@query("op10_superminhash")
+def superminhash(spark, d):
+    return minhash.near_duplicates(table(spark, d, "documents"), near=minhash.Near(words=3, percent=85))

@@ -75,3 +75,53 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=total[1:])
     return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def shingle_hashes(word_hashes: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of all runs of ``k`` words per text, and the bounds of each text in them.
+
+    A shorter text with words has one shingle: its whole sequence.
+    """
+    n = len(word_hashes)
+    ends = np.repeat(bounds[1:], np.diff(bounds))
+    valid = np.arange(n) + k <= ends
+    acc = np.zeros(n, np.uint64)
+    for t in range(k):
+        acc = mixed(acc) + np.concatenate([word_hashes[t:], np.zeros(min(t, n), np.uint64)])
+    found, text_of = acc[valid], owners(bounds)[valid]
+    short = np.flatnonzero((np.diff(bounds) < k) & (np.diff(bounds) > 0))
+    if len(short):
+        whole = np.zeros(len(short), np.uint64)
+        size = np.diff(bounds)[short]
+        for t in range(k - 1):
+            has = size > t
+            whole[has] = mixed(whole[has]) + word_hashes[bounds[short[has]] + t]
+        found = np.concatenate([found, mixed(whole + size.astype(np.uint64))])
+        text_of = np.concatenate([text_of, short])
+    order = np.lexsort((found, text_of))
+    found, text_of = found[order], text_of[order]
+    fresh = np.ones(len(found), bool)
+    fresh[1:] = (found[1:] != found[:-1]) | (text_of[1:] != text_of[:-1])
+    found, text_of = found[fresh], text_of[fresh]
+    limits = np.zeros(len(bounds), np.int64)
+    np.cumsum(np.bincount(text_of, minlength=len(bounds) - 1), out=limits[1:])
+    return found, limits
+
+
+def runs(batches, key: str) -> Iterator[pa.Table]:
+    """Consecutive rows of one key, from batches that are sorted by it."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.asarray(batch.column(key))
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            if held and keys[start] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, stop - start))
+            last = keys[start]
+    if held:
+        yield pa.Table.from_batches(held)
