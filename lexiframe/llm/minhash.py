@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..operators.lookup import lookup_join
+from ..operators.lookup import fits_broadcast, lookup_join
 from ..sources.scratch import materialise
 from .components import Forest, components
 from .words import chunks, hashes, mixed, owners, runs, shingle_hashes, utf8, word_numbers
@@ -258,4 +258,5 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", near: N
     """The rows of one document of each group, with all their columns."""
     kept = near_duplicates(docs, key, text, near)
     gone = materialise(kept.where("not kept").select(F.col(key).alias("_gone")).distinct(), "gone")
-    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
+    gone = F.broadcast(gone) if fits_broadcast(gone) else gone
+    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")

@@ -1,9 +1,10 @@
 """One query for each operator, over the whole of its table, and SQL twins."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..catalog.registry import Registry, table
-from . import minhash, repetition
+from . import bpe, minhash, mixing, repetition, secrets
 
 registry = Registry()
 query = registry.add
@@ -18,3 +19,73 @@ def suffix_repetition(spark, d):
 @query("op10_superminhash")
 def superminhash(spark, d):
     return minhash.near_duplicates(table(spark, d, "documents"), near=minhash.Near(words=3, percent=85))
+
+
+@query("op3_secret_ownership")
+def secret_ownership(spark, d):
+    return secrets.report(secrets.scan(table(spark, d, "documents")))
+
+
+MIX_SQL = r"""
+WITH sizes AS (
+  SELECT doc_id, source, text,
+         coalesce(len(list_filter(string_split(translate(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '),
+                                  lambda x: x <> '')), 0)::BIGINT AS size
+  FROM documents),
+weighed AS (
+  SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+  FROM sizes GROUP BY source),
+filled AS (
+  SELECT *, 3 * source_size AS cap, sum(source_size) OVER () AS total, sum(w) OVER () AS weight,
+         coalesce(sum(3 * source_size) OVER fill, 0) AS taken, coalesce(sum(w) OVER fill, 0) AS gone
+  FROM weighed
+  WINDOW fill AS (ORDER BY 3 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+marked AS (
+  SELECT *, cap::DOUBLE * (weight - gone)::DOUBLE <= w::DOUBLE * (total - taken)::DOUBLE AS is_full FROM filled),
+targets AS (
+  SELECT source, source_size,
+         CASE WHEN is_full THEN cap::DOUBLE
+              ELSE w::DOUBLE * (total - sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ())::DOUBLE
+                   / (sum(CASE WHEN is_full THEN 0 ELSE w END) OVER ())::DOUBLE END AS target
+  FROM marked),
+placed AS (
+  SELECT doc_id, source, size, source_size, target,
+         CASE WHEN source_size > 0 THEN floor(target / source_size * 16777216)::BIGINT ELSE 0 END AS units,
+         ('0x' || substr(md5(doc_id::VARCHAR), 1, 3))::BIGINT AS bin_no
+  FROM sizes JOIN targets USING (source)),
+summed AS (
+  SELECT *, sum(units) OVER (PARTITION BY source ORDER BY bin_no, doc_id
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM placed),
+offsets AS (
+  SELECT source, k, ('0x' || substr(md5('mix' || k || coalesce('=' || source, '')), 1, 6))::BIGINT AS u
+  FROM targets, range(64) AS r(k)),
+tried AS (
+  SELECT source, k, u, abs(sum(size * (((upto + u) // 16777216) - ((upto + u - units) // 16777216)))::HUGEINT * 16777216
+                           - sum(size::HUGEINT * units)) AS miss
+  FROM summed JOIN offsets USING (source) GROUP BY ALL),
+best AS (SELECT source, u FROM tried QUALIFY row_number() OVER (PARTITION BY source ORDER BY miss, k) = 1)
+SELECT doc_id, size, source_size, target,
+       (size * (((upto + u) // 16777216) - ((upto + u - units) // 16777216)))::BIGINT AS taken
+FROM summed JOIN best USING (source)
+"""
+
+
+@query("op5_systematic_mix", MIX_SQL)
+def systematic_mix(spark, d):
+    mixed = mixing.mix(table(spark, d, "documents"))
+    return mixed.select(
+        F.col("key").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
+    )
+
+
+@query("op6_tokenization_automaton")
+def tokenization_automaton(spark, d):
+    tokenizer = bpe.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    encoded = bpe.encode(table(spark, d, "documents"), tokenizer)
+    return bpe.decode(encoded, tokenizer).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )

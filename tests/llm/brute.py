@@ -34,3 +34,20 @@ def near(rows, k, percent):
                     ra, rb = root(a), root(b)
                     up[max(ra, rb)] = min(ra, rb)
     return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+KINDS = (
+    ("assign", re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A), 6),
+    ("access", re.compile(r"(AKIA[A-Z0-9]+)"), 20),
+    ("hex", re.compile(r"([0-9a-f]+)"), 24),
+)
+
+
+def secrets(text):
+    """(start, place of the kind, kind, end) of the base spans."""
+    found = []
+    for i, (kind, pattern, least) in enumerate(KINDS):
+        for m in pattern.finditer(text or ""):
+            if len(m.group(1)) >= least:
+                found.append((m.start(), i, kind, m.end()))
+    return sorted(found)
