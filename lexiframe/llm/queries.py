@@ -4,13 +4,19 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..catalog.registry import Registry, table
-from . import bpe, minhash, mixing, repetition, secrets
+from . import bpe, minhash, mixing, repetition, secrets, superkmers
 
 registry = Registry()
 query = registry.add
 QUERIES, SQL = registry.queries, registry.sql
 
 
+@query("op8_super_kmers")
+def super_kmers(spark, d):
+    kept = superkmers.remove_repeats(table(spark, d, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op9_suffix_repetition")
 def suffix_repetition(spark, d):
     return repetition.quality(table(spark, d, "documents"))

@@ -51,3 +51,20 @@ def secrets(text):
             if len(m.group(1)) >= least:
                 found.append((m.start(), i, kind, m.end()))
     return sorted(found)
+
+
+def repeats(rows, k):
+    """{id: (words, removed, kept)} for (id, text) with distinct ids."""
+    first, words = {}, {}
+    for i, t in sorted(rows):
+        words[i] = WORD.findall(t or "")
+        for a in range(len(words[i]) - k + 1):
+            first.setdefault(tuple(words[i][a : a + k]), (i, a))
+    out = {}
+    for i, w in words.items():
+        gone = set()
+        for a in range(len(w) - k + 1):
+            if first[tuple(w[a : a + k])] < (i, a):
+                gone.update(range(a, a + k))
+        out[i] = (len(w), len(gone), " ".join(x for n, x in enumerate(w) if n not in gone))
+    return out
