@@ -4,13 +4,18 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..catalog.registry import Registry, table
-from . import bpe, minhash, mixing, repetition, secrets, superkmers
+from . import bpe, digests, minhash, mixing, repetition, secrets, superkmers
 
 registry = Registry()
 query = registry.add
 QUERIES, SQL = registry.queries, registry.sql
 
 
+@query("op7_improbable_features")
+def improbable_features(spark, d):
+    return digests.edit_sensitivity(table(spark, d, "documents"))
+
+
 @query("op8_super_kmers")
 def super_kmers(spark, d):
     kept = superkmers.remove_repeats(table(spark, d, "documents"))
