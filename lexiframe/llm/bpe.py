@@ -23,7 +23,7 @@ import json
 import re
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +31,9 @@ from pyspark.sql import DataFrame, types as T
 
 from .words import chunks, utf8
 
-#: Distinct runs of characters whose ids a task remembers.
-REMEMBERED = 400_000
+#: Distinct runs of characters, and words, whose ids a task remembers.
+REMEMBERED = 150_000
+CHUNK = 1 << 20
 PRINTABLE = re.compile(rb"[!-~]+")
 
 
@@ -199,10 +200,11 @@ class Encoder(dict):
 
     def learn(self, runs: set[bytes]) -> None:
         """Encode new runs of printable ASCII together, which saves calls of the splitter."""
-        if len(self) + len(runs) > REMEMBERED:
-            self.clear()
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
+        for memory in (self, self.words):
+            if len(memory) > REMEMBERED:
+                # what came first is mostly what comes often
+                for x in list(islice(memory, REMEMBERED // 2, None)):
+                    del memory[x]
         runs = [x for x in runs if x not in self and PRINTABLE.fullmatch(x) and not any(s in x for s in self.known)]
         text = b" ".join(runs).decode()
         if self.normalizer:
@@ -239,47 +241,58 @@ def read_tokenizer(path: str) -> str:
         return file.read()
 
 
-def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _text(ids: bytes, labels: dict[int, str]) -> str:
+    return " ".join(map(labels.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def encode(
+    docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", decoded: bool = False
+) -> DataFrame:
     """``(key, n_tokens, ids)``; ids are little-endian unsigned 32-bit integers in a binary.
 
     ``tokenizer`` is the text of a tokenizer file. Truncation, padding and added start or
-    end tokens aren't applied. A null or empty text has no ids; equal texts have equal ids;
-    a row with a null key keeps it; other columns aren't read; an empty table gives none.
+    end tokens aren't applied. With ``decoded`` comes what :func:`decode` makes of the ids, in
+    the same pass. A null or empty text has no ids; equal texts have equal ids; a row with a
+    null key keeps it; other columns aren't read; an empty table gives none.
     """
+    _check_decoder(tokenizer)
     shared = docs.sparkSession.sparkContext.broadcast(automaton(tokenizer))
 
     def encoded(batches):
         encoder = Encoder(shared.value)
-        for batch in chunks(batches, text):
+        labels = encoder.table.labels
+        for batch in chunks(batches, text, CHUNK):
             runs = [t.split() for t in utf8(batch.column(text))]
             encoder.learn(set(chain.from_iterable(runs)))
             ids = [b"".join([encoder[x] for x in t]) for t in runs]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(sizes), pa.array(ids, pa.binary())], [key, "n_tokens", "ids"]
-            )
+            columns = [batch.column(key), pa.array(sizes), pa.array(ids, pa.binary())]
+            if decoded:
+                columns.append(pa.array([_text(x, labels) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, [key, "n_tokens", "ids", "decoded"][: len(columns)])
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
+    fields += [T.StructField("decoded", T.StringType())] * decoded
     return docs.select(key, text).mapInArrow(encoded, T.StructType([docs.schema[key], *fields]))
 
 
+def _check_decoder(tokenizer: str) -> None:
+    if json.loads(tokenizer).get("decoder"):
+        raise ValueError("only tokenizers without a decoder are known here")
+
+
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids") -> DataFrame:
     """The same rows with ``decoded``: the labels of the arcs, joined by a space.
 
     That is what a tokenizer file without a decoder asks for. Null ids decode to the empty
     text. ``encoded`` must not have a column of the new name.
     """
-    if json.loads(tokenizer).get("decoder"):
-        raise ValueError("only tokenizers without a decoder are known here")
+    _check_decoder(tokenizer)
     shared = encoded.sparkSession.sparkContext.broadcast(automaton(tokenizer).labels)
 
     def emitted(batches):
-        labels = shared.value
-        for batch in chunks(batches, ids):
-            texts = [
-                " ".join(map(labels.__getitem__, np.frombuffer(x or b"", "<u4").tolist()))
-                for x in batch.column(ids).to_pylist()
-            ]
+        for batch in chunks(batches, ids, CHUNK):
+            texts = [_text(x or b"", shared.value) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
             )

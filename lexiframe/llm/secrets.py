@@ -13,6 +13,7 @@ Only DataFrame functions; texts never move, only the found values do.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.scratch import materialise
+from .arrays import starts
 from .decisions import attach, row_hash
 
 # The kinds in their order, the pattern, the group of the value.
@@ -28,41 +29,13 @@ LEAST_VALUE = 6
 #: A value that more owners than this have is an example.
 MOST_OWNERS = 2
 MARK, OTHER = "\x01", "\x02"
-GROUP = 256
-
-
-def _prefix(lengths: Column, start: Column) -> Column:
-    """Where each piece starts, after ``start``."""
-    zero = F.struct(start.cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out"))
-    return F.aggregate(
-        lengths,
-        zero,
-        lambda acc, n: F.struct(
-            (acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")
-        ),
-        lambda acc: acc["out"],
-    )
-
-
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, b: a + b)
-
-
-def _starts(lengths: Column) -> Column:
-    """Where each piece starts; in two steps, so that many pieces cost little."""
-    groups = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / GROUP).cast("int")),
-        lambda g: F.slice(lengths, g * GROUP + 1, GROUP),
-    )
-    firsts = _prefix(F.transform(groups, _sum), F.lit(0))
-    return F.flatten(F.zip_with(groups, firsts, _prefix))
 
 
 def _matches(text: Column, order: int, pattern: str, group: int) -> Column:
     """``array<struct<start, order, end, value>>`` of one kind."""
     pieces = F.split(F.regexp_replace(text, f"({pattern})", f"{MARK}$1{MARK}"), MARK, -1)
     lengths = F.transform(pieces, lambda x: F.length(x).cast("bigint"))
-    parts = F.arrays_zip(pieces.alias("piece"), _starts(lengths).alias("start"))
+    parts = F.arrays_zip(pieces.alias("piece"), starts(lengths).alias("start"))
     # every second piece is a match
     found = F.filter(parts, lambda x, i: i % 2 == 1)
     spans = F.transform(
