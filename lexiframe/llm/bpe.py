@@ -21,9 +21,10 @@ run of characters between ASCII white space: no rule of these files looks beyond
 
 import json
 import re
+import struct
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,12 @@ from pyspark.sql import DataFrame, types as T
 
 from .words import chunks, utf8
 
-#: Distinct runs of characters, and words, whose ids a task remembers.
-REMEMBERED = 150_000
+#: Distinct runs of characters, and ends of words, whose ids a task remembers.
+REMEMBERED = 200_000
+#: Longest word that is encoded by recursion.
+SHORT = 64
 CHUNK = 1 << 20
-PRINTABLE = re.compile(rb"[!-~]+")
+SOLID = re.compile(r"[^\s\x00-\x1f\x7f-\x9f]+")
 
 
 def compile_arcs(base: list[bool], merges: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -87,17 +90,51 @@ class Automaton:
     final: dict[str, int]
     ids: list[int]
     state: list[int]
+    #: Rows of the arc table that differ, joined, and where each label's row begins.
     arcs: bytes
-    width: int
-    longest: int
+    row: list[int]
+    #: Longest inner label that begins with these two characters.
+    reach: dict[str, int]
 
-    def word(self, word: str) -> list[int]:
-        """The ids of one pre-split word.
+    def rest(self, p: int, rest: str, memory: dict) -> tuple[int, ...] | None:
+        """The ids of the path from state ``p`` that spells the rest of a word, if there is one.
+
+        Words end alike more often than they are alike, so ``memory`` is kept by state and rest.
+        """
+        key = (p, rest)
+        if key in memory:
+            return memory[key]
+        arcs, row, at, bit = self.arcs, self.row, p >> 3, p & 7
+        found = None
+        label = self.final.get(rest)
+        if label is not None and arcs[row[label] + at] >> bit & 1:
+            found = (self.ids[label],)
+        else:
+            inner = self.inner
+            for end in range(min(len(rest) - 1, self.reach.get(rest[:2], 1)), 0, -1):
+                label = inner.get(rest[:end])
+                if label is not None and arcs[row[label] + at] >> bit & 1:
+                    after = self.rest(self.state[label], rest[end:], memory)
+                    if after is not None:
+                        found = (self.ids[label], *after)
+                        break
+        memory[key] = found
+        return found
+
+    def word(self, word: str, memory: dict) -> tuple[int, ...]:
+        """The ids of one pre-split word."""
+        found = self.rest(0, word, memory) if len(word) <= SHORT else self.long_word(word)
+        if found is None:
+            raise ValueError(f"no path for {word!r}: a base symbol is missing")
+        return found
+
+    def long_word(self, word: str) -> tuple[int, ...] | None:
+        """The same without recursion and memory, for words of any length.
 
         Arcs are tried longest label first. The path to a place is unique, so a place from
         which no arc leads on is never entered again.
         """
-        arcs, width, state, inner, n = self.arcs, self.width, self.state, self.inner, len(word)
+        arcs, row, state, inner, n = self.arcs, self.row, self.state, self.inner, len(word)
         path, places, dead = [], [0], set()
         end = n
         while True:
@@ -107,12 +144,12 @@ class Automaton:
             found = None
             if end == n:
                 label = self.final.get(word[start:])
-                if label is not None and arcs[label * width + at] >> bit & 1:
-                    return [self.ids[x] for x in path] + [self.ids[label]]
-                end = min(n - 1, start + self.longest)
+                if label is not None and arcs[row[label] + at] >> bit & 1:
+                    return (*(self.ids[x] for x in path), self.ids[label])
+                end = min(n - 1, start + self.reach.get(word[start : start + 2], 1))
             while end > start:
                 label = inner.get(word[start:end])
-                if label is not None and arcs[label * width + at] >> bit & 1 and end not in dead:
+                if label is not None and arcs[row[label] + at] >> bit & 1 and end not in dead:
                     found = label
                     break
                 end -= 1
@@ -125,7 +162,7 @@ class Automaton:
                 path.pop()
                 end = places.pop() - 1
             else:
-                raise ValueError(f"no path for {word!r}: a base symbol is missing")
+                return None
 
 
 @lru_cache(maxsize=2)
@@ -154,6 +191,11 @@ def automaton(tokenizer: str) -> Automaton:
     arcs, state = compile_arcs(base, merges)
     inner = {x: i for x, i in number.items() if not x.endswith(suffix)}
     final = {x.removesuffix(suffix): i for x, i in number.items() if x.endswith(suffix)}
+    places: dict[bytes, int] = {}
+    row = [places.setdefault(x.tobytes(), len(places) * arcs.shape[1]) for x in arcs]
+    reach: dict[str, int] = {}
+    for x in inner:
+        reach[x[:2]] = max(len(x), reach.get(x[:2], 0))
     splitter = given | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": []}
     return Automaton(
         splitter=json.dumps(splitter),
@@ -163,12 +205,16 @@ def automaton(tokenizer: str) -> Automaton:
         final=final,
         ids=[vocab[x] for x in names],
         state=state.tolist(),
-        arcs=arcs.tobytes(),
-        width=arcs.shape[1],
-        longest=max(map(len, [*inner, *final])),
+        arcs=b"".join(places),
+        row=row,
+        reach=reach,
     )
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder(dict):
     """Ids, as bytes, of runs of characters without ASCII white space."""
 
@@ -182,15 +228,12 @@ class Encoder(dict):
         names = sorted(table.specials, key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, names))) if names else None
         self.known = [x.encode() for x in names]
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[tuple[int, str], tuple[int, ...] | None] = {}
 
     def split(self, words) -> list[int]:
         found = []
         for word, _ in words:
-            ids = self.words.get(word)
-            if ids is None:
-                ids = self.words[word] = self.table.word(word)
-            found += ids
+            found += self.table.word(word, self.words)
         return found
 
     def plain(self, text: str) -> list[int]:
@@ -199,14 +242,16 @@ class Encoder(dict):
         return self.split(self.splitter.pre_tokenize_str(text))
 
     def learn(self, runs: set[bytes]) -> None:
-        """Encode new runs of printable ASCII together, which saves calls of the splitter."""
+        """Encode new runs without any white space together, which saves calls of the splitter."""
         for memory in (self, self.words):
             if len(memory) > REMEMBERED:
                 # what came first is mostly what comes often
                 for x in list(islice(memory, REMEMBERED // 2, None)):
                     del memory[x]
-        runs = [x for x in runs if x not in self and PRINTABLE.fullmatch(x) and not any(s in x for s in self.known)]
-        text = b" ".join(runs).decode()
+        runs = [x for x in runs if x not in self and not any(s in x for s in self.known)]
+        texts = [x.decode() for x in runs]
+        solid = [SOLID.fullmatch(x) is not None for x in texts]
+        runs, text = list(compress(runs, solid)), " ".join(compress(texts, solid))
         if self.normalizer:
             text = self.normalizer.normalize_str(text)
         parts = text.split(" ")
@@ -218,7 +263,7 @@ class Encoder(dict):
             at = n
             while n < len(words) and words[n][1][1] <= end:
                 n += 1
-            self[run] = np.array(self.split(words[at:n]), "<u4").tobytes()
+            self[run] = _packed(self.split(words[at:n]))
             end += 1
 
     def __missing__(self, run: bytes) -> bytes:
@@ -231,7 +276,7 @@ class Encoder(dict):
                 at = match.end()
         if at < len(text):
             ids += self.plain(text[at:])
-        packed = self[run] = np.array(ids, "<u4").tobytes()
+        packed = self[run] = _packed(ids)
         return packed
 
 
