@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics, terms, tokens
 from ..sources import (
+    materialise,
     number_lines,
     read_categories,
     read_csv,
@@ -145,5 +146,35 @@ def class_accuracy_file(spark, d):
     )
 
 
+@query(
+    "class_accuracy_job",
+    f"""
+    {CLASS_SQL},
+    ranked AS (SELECT row_number() OVER (ORDER BY hits, first_hit) - 1 AS pos, truth, hits / total AS recall, hits / size AS by_run
+               FROM hits JOIN last_run USING (truth) WHERE hits > 0)
+    SELECT kind, pos, truth::VARCHAR AS class, round(CASE kind WHEN 'recall' THEN recall ELSE by_run END, 6) AS ratio
+    FROM ranked, (VALUES ('recall'), ('last_run')) AS k(kind)
+    """,
+)
+def class_accuracy_job(spark, d):
+    """From a written result file to ``class = ratio`` files, with either size of a class."""
+    path = shared_path(spark, "results")
+    rule = price_rule(spark, d).withColumn("prediction", F.col("prediction").cast("double"))
+    write_predictions(rule, path, "truth", order="pos")
+    results = materialise(read_results(spark, path), "results")
+    found = []
+    for kind, measure in (("recall", metrics.class_accuracy), ("last_run", metrics.class_accuracy_by_last_run)):
+        target = shared_path(spark, kind)
+        write_class_accuracy(measure(results, "truth", "prediction", "pos"), target)
+        parts = F.split("value", " = ")
+        found.append(
+            number_lines(spark, target).select(
+                F.lit(kind).alias("kind"), "pos", F.get(parts, 0).alias("class"),
+                F.round(F.get(parts, 1).cast("double"), 6).alias("ratio"),
+            )
+        )
+    return found[0].union(found[1])
+
+
 QUERIES = registry.queries
 SQL = registry.sql

@@ -22,5 +22,11 @@ class Registry:
         return register
 
 
+#: Setting with the number of partitions to spread scanned tables over; by default a scan stays as it is.
+SCAN_PARTITIONS = "lexiframe.scan.partitions"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    n = spark.conf.get(SCAN_PARTITIONS, None)
+    return found.repartition(int(n)) if n else found

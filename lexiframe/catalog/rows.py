@@ -225,12 +225,13 @@ def numeric_vectors(spark, d):
 
 
 BUCKET_SQL = "('0x' || substr(md5('234:' || {key}), 1, 8))::BIGINT"
+NINE_TENTHS = round(0.9 * 2**32)
 
 
 @query(
     "hash_split",
     f"""
-    SELECT o_orderkey, (CASE WHEN {BUCKET_SQL.format(key='o_orderkey')} % 10000 >= 9000
+    SELECT o_orderkey, (CASE WHEN {BUCKET_SQL.format(key='o_orderkey')} >= {NINE_TENTHS}
                              THEN 1 ELSE 0 END)::INTEGER AS part
     FROM orders
     """,

@@ -1,13 +1,14 @@
 """Lines, tokens, word counts, term weights and keywords of the documents."""
 
 from pyspark.ml.feature import HashingTF
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.vectors import sparse_entries, vector_sum
-from ..operators import terms, tokens
+from ..operators import profile, terms, tokens
 from ..plans.documents import lines_of, scoring_set, scoring_set_with_ids, training_set_with_ids
 from ..plans.stages import HASH_SIZE, count_stage, hashed_tfidf_stages
-from ..sources.scratch import materialise, spread_small
+from ..sources.scratch import materialise
 from .registry import Registry, table
 
 registry = Registry()
@@ -31,7 +32,7 @@ def _words(docs):
 
 def corpus_words(spark, d, *keep):
     """``(doc_id, *keep, words)`` without empty tokens, documents where they are read."""
-    return _words(spread_small(documents(spark, d, *keep)))
+    return _words(documents(spark, d, *keep))
 
 
 def document_words(spark, d, *keep):
@@ -77,7 +78,7 @@ WEIGHTS_SQL = """
     """,
 )
 def text_lines(spark, d):
-    return lines_of(spread_small(documents(spark, d)), "doc_id", "text")
+    return lines_of(documents(spark, d), "doc_id", "text")
 
 
 @query(
@@ -131,7 +132,7 @@ def lower_whitespace_tokens(spark, d):
     """,
 )
 def script_run_tokens(spark, d):
-    return terms.word_count(tokens.tokenize(spread_small(documents(spark, d)), "text", "regex"))
+    return terms.word_count(tokens.tokenize(documents(spark, d), "text", "regex"))
 
 
 @query("segmented_words")
@@ -181,7 +182,7 @@ def stopword_filter(spark, d):
     """,
 )
 def stopword_anti_join(spark, d):
-    rows = tokens.tokenize(one_line(spread_small(documents(spark, d))), "text")
+    rows = tokens.tokenize(one_line(documents(spark, d)), "text")
     stop = materialise(common_words(corpus_words(spark, d)), "stopwords")
     exploded = rows.select("doc_id", F.posexplode("words").alias("pos", "word"))
     return tokens.drop_stopwords(exploded, stop).groupBy("doc_id").agg(
@@ -236,9 +237,7 @@ def idf_lookup(spark, d):
     words = document_words(spark, d)
     counts = terms.term_counts(words, "doc_id").where(F.col("word").isNotNull())
     idf = corpus_idf(corpus_words(spark, d))
-    joined = terms.lookup_join(
-        counts.select("doc_id", "word"), idf.select("word", "idf"), "word", hot=terms.hottest(idf)
-    )
+    joined = terms.lookup_join(counts.select("doc_id", "word"), idf.select("word", "idf"), "word")
     return joined.select(
         "doc_id", "word", F.round(F.coalesce("idf", F.lit(0.0)), 6).alias("idf")
     )
@@ -286,14 +285,79 @@ def hashed_term_counts(spark, d):
     return tf.transform(words).select("doc_id", vector_sum("features").alias("total"))
 
 
-@query("hashed_tfidf")
+@query(
+    "hashed_tfidf",
+    """
+    SELECT doc_id, len(string_split_regex(regexp_replace(lower(text), '\\s+$', ''), '\\s'))::DOUBLE AS total,
+           true AS same
+    FROM documents
+    """,
+)
 def hashed_tfidf(spark, d):
-    rows = tokens.tokenize(spread_small(documents(spark, d)), "text", "whitespace_lower")
+    """Raw counts per document, and is each weight tf * ln((N + 1) / (df + 1)) of its slot?"""
+    rows = tokens.tokenize(documents(spark, d), "text", "whitespace_lower")
     tf, idf = hashed_tfidf_stages()
     featured = tf.transform(rows)
     weighted = idf.fit(featured).transform(featured)
-    entries = weighted.select("doc_id", F.explode(sparse_entries("features")).alias("e"))
-    return entries.select("doc_id", "e.slot", F.round("e.value", 6).alias("weight"))
+    sides = F.arrays_zip(sparse_entries("rawFeatures").alias("tf"), sparse_entries("features").alias("w"))
+    entries = weighted.select("doc_id", F.explode(sides).alias("e")).select(
+        "doc_id", "e.tf.slot", F.col("e.tf.value").alias("tf"), F.col("e.w.value").alias("weight")
+    )
+    entries = materialise(entries, "hashed")
+    frequency = entries.groupBy("slot").agg(F.count(F.lit(1)).alias("df"))
+    n = documents(spark, d).agg(F.count(F.lit(1))).scalar()
+    expected = F.col("tf") * F.ln((n + 1) / (F.col("df") + 1))
+    return entries.join(frequency, "slot").groupBy("doc_id").agg(
+        F.sum("tf").alias("total"), F.bool_and(F.abs(expected - F.col("weight")) < 1e-9).alias("same")
+    )
+
+
+@query(
+    "tfidf_statistics",
+    f"""
+    WITH {TOKENS_SQL},
+    vocab AS (SELECT word, df FROM freq WHERE df >= 2 ORDER BY n DESC, word LIMIT 21000),
+    weights AS (SELECT doc_id, word, tf * ln((documents + 1) / (df + 1)) AS x FROM tf JOIN vocab USING (word), size)
+    SELECT word, round(sum(x) / any_value(documents), 6) AS mean, count(*) FILTER (x <> 0) AS nonzeros,
+           round(max(x), 6) AS most
+    FROM weights, size GROUP BY word
+    """,
+)
+def tfidf_statistics(spark, d):
+    """Statistics of every slot of the documents' TF-IDF vectors."""
+    words = corpus_words(spark, d)
+    counts = count_stage(words, out="rawFeatures")
+    featured = counts.transform(words)
+    _, idf = hashed_tfidf_stages()
+    vectors = idf.fit(featured).transform(featured)
+    stats = profile.vector_statistics(vectors)
+    slots = F.arrays_zip(
+        F.array(*map(F.lit, counts.vocabulary)).alias("word"),
+        vector_to_array("mean").alias("mean"),
+        vector_to_array("numNonZeros").alias("nonzeros"),
+        vector_to_array("max").alias("most"),
+    )
+    return stats.select(F.explode(slots).alias("s")).select(
+        "s.word", F.round("s.mean", 6).alias("mean"), F.col("s.nonzeros").cast("long").alias("nonzeros"),
+        F.round("s.most", 6).alias("most"),
+    )
+
+
+@query(
+    "han_bigrams",
+    """
+    SELECT doc_id, list_aggregate(list_transform(range(1, length(t)), lambda i: substr(t, i, 2)), 'string_agg', ' ') AS pairs
+    FROM (SELECT doc_id, translate(regexp_replace(text, '[^aeiou]', '', 'g'), 'aeiou',
+                 chr(20013) || chr(22269) || chr(20154) || chr(27665) || chr(26085)) AS t FROM documents)
+    WHERE length(t) >= 2
+    """,
+)
+def han_bigrams(spark, d):
+    """Vowels written as Han characters: one run per document, as overlapping pairs."""
+    vowels = F.regexp_replace("text", "[^aeiou]", "")
+    han = F.translate(vowels, "aeiou", "".join(map(chr, (20013, 22269, 20154, 27665, 26085))))
+    rows = tokens.tokenize(documents(spark, d).withColumn("text", han), "text", "han_bigram")
+    return rows.where(F.length("text") >= 2).select("doc_id", F.array_join("words", " ").alias("pairs"))
 
 
 @query(
@@ -305,7 +369,7 @@ def hashed_tfidf(spark, d):
     """,
 )
 def tfidf(spark, d):
-    return terms.tfidf(corpus_words(spark, d), "doc_id")
+    return terms.tfidf(document_words(spark, d), "doc_id")
 
 
 @query(
@@ -393,7 +457,7 @@ SCORING_SQL = f"""
 """
 
 
-def _scoring_inputs(spark, d):
+def scoring_inputs(spark, d):
     words = corpus_words(spark, d)
     stop = [row["word"] for row in common_words(words).collect()]  # STOPWORDS rows
     return labelled_lines(spark, d, "^^"), corpus_idf(words), stop
@@ -408,7 +472,7 @@ def _scoring_inputs(spark, d):
     """,
 )
 def scoring_set_query(spark, d):
-    out = scoring_set(*_scoring_inputs(spark, d))
+    out = scoring_set(*scoring_inputs(spark, d))
     return out.withColumn("words", F.array_join("words", " "))
 
 
@@ -427,7 +491,7 @@ def scoring_set_query(spark, d):
 )
 def scoring_set_with_ids_query(spark, d):
     """Labels are numbered without one class, which then gets the default id."""
-    lines, idf, stop = _scoring_inputs(spark, d)
+    lines, idf, stop = scoring_inputs(spark, d)
     known = labelled_lines(spark, d, " ").where(~F.col("value").endswith(" es"))
     _, dictionary = training_set_with_ids(known)
     mapping = materialise(dictionary, "label-map")

@@ -31,6 +31,35 @@ def blank_or_spaced(word: Column) -> Column:
     return (word == "") | F.contains(word, F.lit(" ")) | F.contains(word, F.lit(WIDE_SPACE))
 
 
+def python_float(c) -> Column:
+    """A double as Python's repr() shows it.
+
+    Both sides print the shortest digits (Java two at least with an exponent, which shows in
+    the very smallest numbers only); they differ in when an exponent is used (Python:
+    below 1e-4 and from 1e16) and in how it is written.
+    """
+    shown = _col(c).cast("double").cast("string")
+    sign = F.when(shown.startswith("-"), "-").otherwise("")
+    mantissa = F.regexp_extract(shown, r"^-?([0-9.]+)E", 1)
+    digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), "(?<=.)0+$", "")
+    power = F.regexp_extract(shown, r"E(-?[0-9]+)$", 1).cast("int")
+    whole = F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0"))
+    rest = F.substring(digits, power + 2, F.length(digits))
+    rest = F.when(rest == "", "0").otherwise(rest)
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    point = F.concat(F.substring(digits, 1, 1), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), F.length(digits)))).otherwise(""))
+    size = F.abs(power).cast("string")
+    size = F.when(F.length(size) < 2, F.lpad(size, 2, "0")).otherwise(size)
+    far = F.concat(point, F.lit("e"), F.when(power < 0, "-").otherwise("+"), size)
+    number = F.when((power >= 0) & (power < 16), F.concat(whole, F.lit("."), rest)).when((power < 0) & (power >= -4), small).otherwise(far)
+    return (
+        F.when(shown == "NaN", "nan")
+        .when(shown.endswith("Infinity"), F.concat(sign, F.lit("inf")))
+        .when(F.contains(shown, F.lit("E")), F.concat(sign, number))
+        .otherwise(shown)
+    )
+
+
 def _escape_char(ch: Column) -> Column:
     code = F.lower(F.hex(F.ascii(ch)))
     return (

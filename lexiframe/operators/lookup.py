@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, functions as F
 
 MAX_BROADCAST_BYTES = 64 << 20
-HOT_KEYS = 1000
+#: Keys of the rows that are joined where they are, if the dictionary is too large to broadcast.
+FREQUENT_KEYS = 200_000
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
@@ -12,10 +13,11 @@ def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     return (size or 0) <= max_bytes
 
 
-def hot_keys(df: DataFrame, key: str, n: int = HOT_KEYS) -> DataFrame:
-    """The ``n`` most frequent keys."""
+def frequent_keys(df: DataFrame, key: str, n: int = FREQUENT_KEYS) -> DataFrame:
+    """The ``n`` most frequent keys of the rows themselves."""
     return (
-        df.groupBy(key)
+        df.where(F.col(key).isNotNull())
+        .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .orderBy(F.desc("_n"), key)
         .limit(n)
@@ -28,33 +30,35 @@ def lookup_join(
     dictionary: DataFrame,
     key: str,
     how: str = "left",
-    hot: DataFrame | None = None,
+    frequent: DataFrame | None = None,
     max_bytes: int = MAX_BROADCAST_BYTES,
-    salts: int = 64,
+    n: int = FREQUENT_KEYS,
 ) -> DataFrame:
     """Join with a dictionary, which should be a stored table or cheap to read.
 
-    A dictionary measured to be small is broadcast. A larger one is shuffled:
-    rows of the hot keys are then spread over ``salts`` sub-keys, and only their
-    dictionary rows are copied. ``hot`` names these keys (at most ``HOT_KEYS`` are
-    used); by default they are counted.
+    A dictionary measured to be small is broadcast. Beyond that the rows are split by
+    their key: rows of the ``n`` most frequent keys (in the rows, whether the dictionary
+    has them or not) are joined in place with a broadcast of these keys' entries, so no
+    frequent key reaches one task; only rows of rare keys are shuffled. Null keys match
+    nothing and stay in place. ``frequent`` is a table of these keys if they are known.
     """
     if fits_broadcast(dictionary, max_bytes):
         return df.join(F.broadcast(dictionary), key, how)
-    hot = hot_keys(df, key) if hot is None else hot.select(key).limit(HOT_KEYS)
-    flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
-    left = (
-        df.join(flag, key, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(0))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    right = (
-        dictionary.join(flag, key, "left")
-        .withColumn("_salt", F.explode(copies))
-        .drop("_hot")
-    )
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    keys = frequent_keys(df, key, n) if frequent is None else frequent.select(key).limit(n)
+    entries = dictionary.withColumn("_known", F.lit(True))
+    # at most n keys; a key has as many rows as the dictionary gives it
+    near = F.broadcast(keys.withColumn("_near", F.lit(True)).join(entries, key, "left"))
+    marks = F.broadcast(keys.withColumn("_near", F.lit(True)))
+    added = [c for c in dictionary.columns if c != key]
+    columns = [*df.columns, *(added if how in ("left", "inner") else [])]
+    in_place = df.join(near, key, "left").where(F.col("_near") | F.col(key).isNull())
+    if how == "inner":
+        in_place = in_place.where("_known")
+    elif how == "left_anti":
+        in_place = in_place.where("_known is null")
+    elif how != "left":
+        raise ValueError(f"unknown join {how!r}")
+    rare = df.where(F.col(key).isNotNull()).join(marks, key, "left_anti")
+    moved = rare.join(dictionary, key, how)
+    ordered = [key, *[c for c in columns if c != key]]
+    return in_place.select(*ordered).union(moved.select(*ordered))

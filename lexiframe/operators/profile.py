@@ -5,7 +5,7 @@ from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.scratch import materialise
 
@@ -13,10 +13,15 @@ VALUES_PER_WINDOW = 1_000_000
 MAX_WINDOWS = 10_000
 
 
-def _value_counts(df: DataFrame, column: str) -> DataFrame:
+def number(column: str) -> Column:
+    """The column as double; NaN is a missing value."""
     value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def _value_counts(df: DataFrame, column: str) -> DataFrame:
     return (
-        df.select(value.alias("v")).where(F.col("v").isNotNull())
+        df.select(number(column).alias("v")).where(F.col("v").isNotNull())
         .groupBy("v").agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -96,7 +101,7 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
         *[
             F.struct(
                 F.lit(name).alias("column"),
-                *[f(F.col(name).cast("double")).alias(out) for f, out in zip(functions, figures)],
+                *[f(number(name)).alias(out) for f, out in zip(functions, figures)],
             ).alias(name)
             for name in columns
         ]
@@ -122,7 +127,7 @@ def outliers(df: DataFrame, column: str, whisker: float = 1.5) -> DataFrame:
     reach = whisker * (F.col("q1") - F.col("q0"))
     low = quartiles.select(F.col("q0") - reach).scalar()
     high = quartiles.select(F.col("q1") + reach).scalar()
-    value = F.col(column)
+    value = number(column)
     return df.where((value < low) | (value > high)).orderBy(
         column, *[c for c in df.columns if c != column]
     )

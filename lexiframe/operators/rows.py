@@ -69,8 +69,14 @@ def doubles(strings: str | Column) -> Column:
 
 
 def numeric_examples(df: DataFrame, fields: str = "fields") -> DataFrame:
-    """Numeric records with the label last: ``label`` int and ``features`` vector."""
-    rows = label_last(df, fields, "parts")
+    """Numeric records with the label last: ``label`` int and ``features`` vector.
+
+    A malformed label is null, and so is the vector of a record with a malformed number.
+    """
+    rows = label_last(df, fields, "parts").withColumn("parts", doubles("parts"))
+    whole = F.forall("parts", lambda x: x.isNotNull())
+    # array_to_vector takes no null inside the array, wherever its result is used
+    clean = F.when(whole, F.col("parts")).otherwise(F.array().cast("array<double>"))
     return rows.withColumn("label", F.col("label").try_cast("int")).withColumn(
-        "features", array_to_vector(doubles("parts"))
+        "features", F.when(whole, array_to_vector(clean))
     ).drop("parts")

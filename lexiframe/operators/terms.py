@@ -97,11 +97,6 @@ def vocabulary(
     )
 
 
-def hottest(idf: DataFrame, n: int = 1000) -> DataFrame:
-    """The most widespread words of an idf table: the lowest weights."""
-    return idf.orderBy("idf", "word").limit(n).select("word")
-
-
 def weigh_terms(
     counts: DataFrame, idf: DataFrame, boost: DataFrame | None = None
 ) -> DataFrame:
@@ -110,11 +105,10 @@ def weigh_terms(
     Words without an idf weigh 0. ``boost`` holds ``(word, ratio)`` for words that
     count more than once; others have ratio 1.
     """
-    hot = hottest(idf)
-    rows = lookup_join(counts, idf.select("word", "idf"), "word", hot=hot)
+    rows = lookup_join(counts, idf.select("word", "idf"), "word")
     ratio = F.lit(1.0)
     if boost is not None:
-        rows = lookup_join(rows, boost.select("word", "ratio"), "word", hot=hot)
+        rows = lookup_join(rows, boost.select("word", "ratio"), "word")
         ratio = F.coalesce("ratio", F.lit(1.0))
     weight = F.round(F.col("tf") * F.coalesce("idf", F.lit(0.0)) * ratio, 6)
     return rows.withColumn("tfidf", weight).drop("idf", "ratio")
@@ -160,7 +154,10 @@ def keywords(
 
 
 def tfidf(df: DataFrame, id_col: str, words: str = "words", min_df: int = 0) -> DataFrame:
-    """``(id, word, tf, tfidf)`` over exact words, weights from the table itself."""
+    """``(id, word, tf, tfidf)`` over exact words, weights from the table itself.
+
+    Moves no document if ``df`` was placed by ``by_document`` before it was tokenised.
+    """
     idf = materialise(inverse_document_frequency(df, words, min_df), "idf")
-    counts = term_counts(by_document(df, id_col), id_col, words)
+    counts = term_counts(df, id_col, words)
     return weigh_terms(counts.where(F.col("word").isNotNull()), idf).drop("first_pos")

@@ -1,6 +1,6 @@
 """Tokenising and stop-word filtering."""
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.ml.feature import StopWordsRemover
@@ -65,16 +65,13 @@ def tokenize(
 def segment(
     df: DataFrame, text: str, segmenter: Callable[[str], list[str]], words: str = "words"
 ) -> DataFrame:
-    """Tokenise with a function of the caller, one Arrow batch at a time."""
-    schema = T.StructType([*df.schema.fields, T.StructField(words, T.ArrayType(T.StringType()))])
+    """Tokenise with a function of the caller; only the text column goes through Python."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(
-                **{words: [None if t is None else list(segmenter(t)) for t in batch[text]]}
-            )
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else list(segmenter(t)))
 
-    return df.mapInPandas(run, schema)
+    return df.withColumn(words, run(text))
 
 
 def remove_stopwords(df: DataFrame, stopwords: list[str], words: str = "words") -> DataFrame:

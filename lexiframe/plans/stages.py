@@ -9,10 +9,13 @@ from ..operators.terms import MIN_DOCUMENTS, VOCABULARY_SIZE, vocabulary
 HASH_SIZE = 21000
 
 
-def ordered_input(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+#: Bagging draws by partition and row, so the number is part of a model, not of a session.
+PARTITIONS = 64
+
+
+def ordered_input(df: DataFrame, key: str, partitions: int = PARTITIONS) -> DataFrame:
     """Place rows by key and sort them, so that bagging sees one fixed order."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, key).sortWithinPartitions(key)
+    return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def count_stage(

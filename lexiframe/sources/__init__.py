@@ -2,7 +2,7 @@
 
 from .dictionaries import last_entry_wins, read_categories, read_idf, read_stopwords
 from .lines import number_lines, read_csv, read_lines, read_results
-from .scratch import materialise, shared_path, spread_small
+from .scratch import materialise, session_folder, shared_path
 from .sinks import (
     pair_line,
     write_class_accuracy,
@@ -23,8 +23,8 @@ __all__ = [
     "read_lines",
     "read_results",
     "read_stopwords",
+    "session_folder",
     "shared_path",
-    "spread_small",
     "write_class_accuracy",
     "write_lines",
     "write_pairs",

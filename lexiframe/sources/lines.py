@@ -2,11 +2,10 @@
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..functions.text import literal_split
 from ..operators.lookup import lookup_join
 from .scratch import materialise
 
-RESULT_SCHEMA = "truth double, prediction double"
-
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per line: ``value``."""
@@ -21,24 +20,26 @@ def number_lines(spark: SparkSession, path: str, value: str = "value") -> DataFr
     from scan to scan, so the lines are stored once together with their block. Only
     the block totals, one row per file block, go through an ordered prefix sum.
     """
-    block = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-    )
+    file, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     rows = spark.read.text(path).select(
-        block.alias("block"),
+        F.xxhash64(file, start).alias("block"),
+        # names of part files are ordered by their number
+        F.struct(F.regexp_extract(file, r"/part-([0-9]+)", 1).try_cast("bigint").alias("n"), file.alias("file"), start.alias("start")).alias("place"),
         F.monotonically_increasing_id().alias("row"),
         F.col("value").alias(value),
     )
     rows = materialise(rows, "numbered-lines")
-    blocks = rows.groupBy("block").agg(
-        F.count(F.lit(1)).alias("n"), F.min("row").alias("first_row")
+    blocks = rows.groupBy("place").agg(
+        F.first("block").alias("block"), F.count(F.lit(1)).alias("n"), F.min("row").alias("first_row")
     )
-    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(
-        "block", "first_row", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    earlier = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    starts = materialise(
+        blocks.select("block", "first_row", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")),
+        "blocks",
     )
-    return lookup_join(rows, materialise(starts, "blocks"), "block").select(
+    if starts.groupBy("block").count().where("count > 1").limit(1).count():
+        raise ValueError("two file blocks have the same hash")
+    return lookup_join(rows.drop("place"), starts, "block").select(
         (F.col("before") + F.col("row") - F.col("first_row")).alias("pos"), value
     )
 
@@ -49,6 +50,12 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """``truth<TAB>prediction`` lines; either number may be written as ``3`` or ``3.0``."""
-    rows = spark.read.csv(path, sep="\t", schema=RESULT_SCHEMA)
-    return rows.select(*[F.col(c).cast("int").alias(c) for c in rows.columns])
+    """``(pos, truth, prediction)`` of ``truth<TAB>prediction`` lines, in line order.
+
+    Either number may be written as ``3`` or ``3.0``.
+    """
+    parts = literal_split("value", "\t")
+    return number_lines(spark, path).select(
+        "pos",
+        *[F.get(parts, i).try_cast("double").cast("int").alias(c) for i, c in enumerate(("truth", "prediction"))],
+    )

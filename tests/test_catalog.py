@@ -4,10 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from check_catalog import compare, connect
-from lexiframe.catalog import registry
+from lexiframe.catalog import all_queries, all_sql, registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +26,10 @@ def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
 
+def test_entry_lists_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["doc_id", "rank", "word", "tf", "tfidf"] and df.count() > 0
@@ -34,8 +38,7 @@ def test_entry(spark):
 @pytest.mark.parametrize(
     "name",
     ["ranked_keywords", "vocabulary", "run_numbers", "hash_split", "class_accuracy_by_last_run",
-     "label_index", "bayes_predictions", "train_forest_counts_label_index", "decision_tree",
-     "tuned_decision_tree"],
+     "label_index", "bayes_predictions", "scoring_job", "decision_tree"],
 )
 def test_partitioning_does_not_matter(spark, monkeypatch, name):
     from lexiframe.catalog import labels, models, rows, text

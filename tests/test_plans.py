@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from lexiframe.catalog import text
+from lexiframe.catalog import all_queries, text
 from lexiframe.catalog.registry import table
 from lexiframe.operators import lookup, runs, terms
 
@@ -20,12 +20,10 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-RELATIONAL = [n for n in entry.queries() if not re.search("train_|forest|tree|classifier|unfitted|job|model", n)]
-
-
-@pytest.mark.parametrize("name", RELATIONAL)
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_no_python_and_no_cross_join(spark, name):
-    p = plan(entry.queries()[name](spark, SF))
+    p = plan(all_queries()[name](spark, SF))
+    # MLlib's models predict in JVM functions; only a function of the caller runs in Python
     assert bool(PYTHON.search(p)) == (name in WITH_PYTHON)
     assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
 
@@ -37,18 +35,21 @@ def test_keywords_move_each_document_once(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in p
 
 
-def test_large_dictionary_is_not_broadcast(spark):
-    words = text.document_words(spark, SF)
-    idf = text.corpus_idf(words).select("word", "idf")
-    counts = terms.term_counts(words, "doc_id")
+def test_keywords_beyond_the_broadcast_limit(spark, monkeypatch):
+    """Rows of frequent words stay with their document; only rows of rare words move by word."""
+    monkeypatch.setattr(lookup.lookup_join, "__defaults__", ("left", None, 0, 50))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = lookup.lookup_join(counts, idf, "word", hot=terms.hottest(idf), max_bytes=0)
-        p = plan(joined)
+        words = text.document_words(spark, SF)
+        out = terms.ranked_keywords(words, text.corpus_idf(words), "doc_id")
+        p = plan(out)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
-    assert "hashpartitioning(word" in p and "_salt" in p
+    assert "BroadcastHashJoin" in p and "hashpartitioning(word" in p and "WindowGroupLimit" in p
+    monkeypatch.undo()
+    small = terms.ranked_keywords(words, text.corpus_idf(words), "doc_id")
+    assert sorted(map(repr, out.select(small.columns).collect())) == sorted(map(repr, small.collect()))
 
 
 def test_row_windows_are_partitioned(spark):
