@@ -33,10 +33,10 @@ from pyspark.sql import DataFrame, types as T
 from .words import chunks, utf8
 
 #: Distinct runs of characters, and ends of words, whose ids a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 500_000
 #: Longest word that is encoded by recursion.
 SHORT = 64
-CHUNK = 1 << 20
+CHUNK = 4 << 20
 SOLID = re.compile(r"[^\s\x00-\x1f\x7f-\x9f]+")
 
 
