@@ -2,6 +2,7 @@
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -64,7 +65,8 @@ def main():
     spark = session(
         "check", "local[8]",
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g",
-           "spark.ui.showConsoleProgress": "false"},
+           "spark.ui.showConsoleProgress": "false",
+           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="check-catalog-")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, sql = connect(sf_dir), entry.oracle_sql()
