@@ -382,10 +382,12 @@ def tfidf(spark, d):
     """,
 )
 def boosted_tfidf(spark, d):
-    words, corpus = document_words(spark, d), corpus_words(spark, d)
-    boost = materialise(common_words(corpus).withColumn("ratio", F.lit(1.5)), "boost")
-    counts = terms.term_counts(words, "doc_id").where(F.col("word").isNotNull())
-    return terms.weigh_terms(counts, corpus_idf(corpus), boost).select("doc_id", "word", "tfidf")
+    totals = materialise(terms.term_totals(corpus_words(spark, d)), "term-totals")
+    frequent = totals.orderBy(F.desc("n"), "word").limit(STOPWORDS)
+    boost = materialise(frequent.select("word", F.lit(1.5).alias("ratio")), "boost")
+    idf = materialise(terms.idf_of_totals(totals, documents(spark, d).count()), "idf")
+    counts = terms.term_counts(document_words(spark, d), "doc_id").where(F.col("word").isNotNull())
+    return terms.weigh_terms(counts, idf, boost).select("doc_id", "word", "tfidf")
 
 
 @query(
@@ -458,9 +460,12 @@ SCORING_SQL = f"""
 
 
 def scoring_inputs(spark, d):
-    words = corpus_words(spark, d)
-    stop = [row["word"] for row in common_words(words).collect()]  # STOPWORDS rows
-    return labelled_lines(spark, d, "^^"), corpus_idf(words), stop
+    """Labelled lines, idf and stop-words; one pass over the corpus counts for both."""
+    totals = materialise(terms.term_totals(corpus_words(spark, d)), "term-totals")
+    frequent = totals.orderBy(F.desc("n"), "word").limit(STOPWORDS).select("word")
+    stop = [row["word"] for row in frequent.collect()]  # STOPWORDS rows
+    idf = materialise(terms.idf_of_totals(totals, documents(spark, d).count()), "idf")
+    return labelled_lines(spark, d, "^^"), idf, stop
 
 
 @query(

@@ -14,6 +14,10 @@ from .lookup import lookup_join
 from .terms import MIN_DOCUMENTS, VOCABULARY_SIZE, term_counts
 
 
+#: The tables have one column per class.
+MAX_CLASSES = 1000
+
+
 @dataclass
 class BayesTable:
     """``labels`` and ``priors`` in label order; ``words`` holds ``word, w0..wK``.
@@ -41,7 +45,9 @@ def train_bayes(
     min_df: int = MIN_DOCUMENTS,
 ) -> BayesTable:
     """Count the vocabulary's words per class in one pass and smooth by one."""
-    classes = class_priors(df, label).orderBy("label").collect()  # one row per class
+    classes = class_priors(df, label).orderBy("label").limit(MAX_CLASSES + 1).collect()
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"a column per class is kept, at most {MAX_CLASSES}")
     names = [f"n{i}" for i in range(len(classes))]
     lists = F.array(F.col(words), F.array_distinct(words))
     seen = (

@@ -55,9 +55,12 @@ def run_number(df: DataFrame, label: str, order: str, out: str = "run_id") -> Da
     """Number the runs of equal labels along ``order``, a unique integer column.
 
     The first run has id 0. As in a loop that starts from an empty previous label,
-    a leading run of empty labels has id -1. Reads the table twice: once for the
-    summary, when called, and once for the numbered rows.
+    a leading run of empty labels has id -1. Only ``order`` and ``label`` are numbered; the
+    other columns are joined afterwards, so wide rows never meet in a window.
     """
+    if set(df.columns) - {label, order}:
+        numbers = materialise(run_number(df.select(order, label), label, order, out), "run-numbers")
+        return df.join(numbers.drop(label), order).select(*df.columns, out)
     key = F.coalesce(
         F.col(order).cast("long"),
         F.raise_error(F.lit(f"{order} must be an integer and not null")).cast("long"),

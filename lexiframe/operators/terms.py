@@ -82,6 +82,12 @@ def inverse_document_frequency(
     )
 
 
+def idf_of_totals(totals: DataFrame, documents: int, min_df: int = MIN_DOCUMENTS) -> DataFrame:
+    """The same from ``term_totals`` and the number of documents."""
+    weight = F.ln((F.lit(documents) + 1) / (F.col("df") + 1))
+    return totals.where(F.col("df") >= min_df).select("word", "df", weight.alias("idf"))
+
+
 def vocabulary(
     df: DataFrame,
     words: str = "words",

@@ -305,6 +305,13 @@ def test_nan_is_a_missing_value(spark):
     assert [r["x"] for r in profile.outliers(df, "x").collect()] == [100.0]
 
 
+def test_run_number_keeps_wide_rows(spark):
+    df = spark.createDataFrame([(3, "b", "x"), (1, "a", None), (2, "a", "z")], "pos long, label string, words string")
+    out = runs.run_number(df, "label", "pos")
+    assert out.columns == ["pos", "label", "words", "run_id"]
+    assert sorted(map(tuple, out.collect())) == [(1, "a", None, 0), (2, "a", "z", 0), (3, "b", "x", 1)]
+
+
 def test_small_parts_of_a_split(spark):
     df = spark.range(400_000)
     parts = dict(values(split.hash_split(df, "id", [0.99999, 0.00001], 7).groupBy("part").count(), "part", "count"))
