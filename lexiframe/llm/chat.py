@@ -2,7 +2,7 @@
 
 A message has a tree, a node and the node it replies to. Pointer doubling: in each round a
 message learns the ancestor of its ancestor, so a path of n messages takes log2(n)
-self-joins; what a round knows is kept, and the messages of a chosen path are found by
+self-joins, and only messages that haven't reached a root take part; what a round knows is kept, and the messages of a chosen path are found by
 jumping with these tables, longest jumps first. Only ids and scores are joined until the
 branches are chosen. All of it is DataFrame functions.
 
@@ -10,6 +10,8 @@ Template: ``<|turn|>`` role, line feed, text, ``<|end|>``, line feed. No ``<|``
 an escaped text, so the marks can't be forged.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.scratch import materialise
@@ -52,23 +54,23 @@ def climb(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         "climb-0",
     )
     rows = state.count()
-    levels: list[DataFrame] = []
-    while (1 << len(levels)) < 2 * rows and not (jumps := state.where("up is not null")).isEmpty():
-        levels.append(jumps.select("tree", "node", "up"))
-        above = state.select(
+    done, climbing, levels = [state.where("up is null")], state.where("up is not null"), []
+    # a loop of replies climbs for ever, a path of all rows for log2(rows) rounds
+    while (1 << len(levels)) < 2 * rows and not climbing.isEmpty():
+        levels.append(climbing.select("tree", "node", "up"))
+        above = reduce(DataFrame.union, done, climbing).select(
             F.col("tree").alias("_tree"), F.col("node").alias("_node"), F.col("up").alias("_up"),
             F.col("total").alias("_total"), F.col("steps").alias("_steps"),
         )
-        joined = state.join(above, [F.col("tree") == F.col("_tree"), F.col("up") == F.col("_node")], "left")
         state = materialise(
-            joined.select(
-                "tree", "node", F.col("_up").alias("up"),
-                (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
-                (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"),
+            climbing.join(above, [F.col("tree") == F.col("_tree"), F.col("up") == F.col("_node")]).select(
+                "tree", "node", F.col("_up").alias("up"), (F.col("total") + F.col("_total")).alias("total"),
+                (F.col("steps") + F.col("_steps")).alias("steps"),
             ),
             f"climb-{len(levels)}",
         )
-    return state.where("up is null").drop("up"), levels
+        done, climbing = [*done, state.where("up is null")], state.where("up is not null")
+    return reduce(DataFrame.union, done).drop("up"), levels
 
 
 def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
