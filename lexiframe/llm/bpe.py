@@ -33,11 +33,12 @@ from pyspark.sql import DataFrame, types as T
 from .words import chunks, utf8
 
 #: Distinct runs of characters, and ends of words, whose ids a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Longest word that is encoded by recursion.
 SHORT = 64
-CHUNK = 4 << 20
-SOLID = re.compile(r"[^\s\x00-\x1f\x7f-\x9f]+")
+CHUNK = 1 << 20
+#: White space and controls other than the space that joins runs.
+ODD = re.compile(r"[^\S ]|[\x00-\x1f\x7f-\x9f]")
 
 
 def compile_arcs(base: list[bool], merges: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -227,7 +228,6 @@ class Encoder(dict):
         self.table = table
         names = sorted(table.specials, key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, names))) if names else None
-        self.known = [x.encode() for x in names]
         self.words: dict[tuple[int, str], tuple[int, ...] | None] = {}
 
     def split(self, words) -> list[int]:
@@ -248,10 +248,13 @@ class Encoder(dict):
                 # what came first is mostly what comes often
                 for x in list(islice(memory, REMEMBERED // 2, None)):
                     del memory[x]
-        runs = [x for x in runs if x not in self and not any(s in x for s in self.known)]
-        texts = [x.decode() for x in runs]
-        solid = [SOLID.fullmatch(x) is not None for x in texts]
-        runs, text = list(compress(runs, solid)), " ".join(compress(texts, solid))
+        runs = [x for x in runs if x not in self]
+        text = b" ".join(runs).decode()
+        if ODD.search(text) or self.special and self.special.search(text):
+            # such runs go alone
+            plain = [not (ODD.search(x) or self.special and self.special.search(x)) for x in text.split(" ")]
+            runs = list(compress(runs, plain))
+            text = b" ".join(runs).decode()
         if self.normalizer:
             text = self.normalizer.normalize_str(text)
         parts = text.split(" ")
