@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, types as T
 from .words import chunks, utf8
 
 #: Distinct runs of characters, and ends of words, whose ids a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Longest word that is encoded by recursion.
 SHORT = 64
 CHUNK = 1 << 20
@@ -293,6 +293,17 @@ def _text(ids: bytes, labels: dict[int, str]) -> str:
     return " ".join(map(labels.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+_broadcasts: dict[tuple[str, str], object] = {}
+
+
+def _shared(spark, tokenizer: str):
+    """One broadcast of an automaton for a session, so that workers never hold several."""
+    key = (spark.sparkContext.applicationId, tokenizer)
+    if key not in _broadcasts:
+        _broadcasts[key] = spark.sparkContext.broadcast(automaton(tokenizer))
+    return _broadcasts[key]
+
+
 def encode(
     docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", decoded: bool = False
 ) -> DataFrame:
@@ -304,7 +315,7 @@ def encode(
     null key keeps it; other columns aren't read; an empty table gives none.
     """
     _check_decoder(tokenizer)
-    shared = docs.sparkSession.sparkContext.broadcast(automaton(tokenizer))
+    shared = _shared(docs.sparkSession, tokenizer)
 
     def encoded(batches):
         encoder = Encoder(shared.value)
