@@ -437,3 +437,20 @@ def test_escaping_is_reversible(spark, seed):
                     chat.escape_role(F.col("t")).alias("r"), chat.unescape_role(chat.escape_role(F.col("t"))).alias("s"))
     for r in out.collect():
         assert r.b == r.t == r.s and "<|" not in r.e and "<|" not in r.r and "\n" not in r.r
+
+
+def test_summed_counts_are_exact():
+    """Counts above 65,535 keep their ratio on the way from the tasks to the model."""
+    learners = [scoring.Learner(scoring.Code.of([1, 1]), scoring.BLOCK_BITS, 1) for _ in range(2)]
+    for learner in learners:
+        learner.tables[0][:2] = 2**25 + 1, 70_000
+        learner.decisions = 1.0
+    rows = [b for learner in learners for b in scoring._rows(learner)]
+    found = {r["part"]: r["data"] for b in scoring._summed(rows) for r in b.to_pylist()}
+    cell = int(np.frombuffer(found[0], np.int16)[0])
+    assert cell >> 8 == round(math.log(140_000.4 / (2**26 + 2.4)) * scoring.SCALE)
+    # a cell goes on counting beyond what a single-precision number can
+    symbols, before = np.zeros(3, np.int64), learners[0].root[2 * 0 : 2].sum()
+    learners[0].tables[0][:] = 2**24
+    learners[0].learn(symbols, np.zeros((1, 3), np.uint64))
+    assert learners[0].tables[0].sum() == 2**24 * len(learners[0].tables[0]) + 3 and learners[0].root[:2].sum() == before + 3
