@@ -7,10 +7,13 @@ import random
 import zipfile
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from lexiframe.llm import archives, bpe, chat, components, digests, minhash, mixing, repetition, scoring, secrets, superkmers
@@ -454,3 +457,16 @@ def test_summed_counts_are_exact():
     learners[0].tables[0][:] = 2**24
     learners[0].learn(symbols, np.zeros((1, 3), np.uint64))
     assert learners[0].tables[0].sum() == 2**24 * len(learners[0].tables[0]) + 3 and learners[0].root[:2].sum() == before + 3
+
+
+def test_spelled_words_weigh_all_their_occurrences():
+    code = scoring.Code.of([1] * 257)
+    words, n = [b"abc", b"abd", b"x"], [1_000_000, 300, 2]
+    shared = SimpleNamespace(value=SimpleNamespace(bytes=code))
+    batch = pa.RecordBatch.from_pydict({"word": pa.array(words, pa.binary()), "n": pa.array(n, pa.int64())})
+    found = list(scoring._learnt_bytes(shared, scoring.BLOCK_BITS)([batch]))
+    root = next(r["data"] for b in found for r in b.to_pylist() if r["part"] == -1)
+    root = np.frombuffer(zstandard.ZstdDecompressor().decompress(root), np.float64)
+    # every decision of every occurrence is counted
+    symbols = [np.append(np.frombuffer(w, np.uint8), scoring.CLOSE).astype(np.int64) for w in words]
+    assert root.sum() == sum(k * code.length[s].sum() for k, s in zip(n, symbols, strict=True))
