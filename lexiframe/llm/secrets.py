@@ -2,8 +2,8 @@
 
 Matches are marked inside the text by one replacement per kind; cutting at the marks gives
 the matches and, from the lengths of the pieces, their places in code points. Values are
-counted over the corpus by distinct repositories (rows) and owners. A value that many
-owners share is an example; one that few owners have is live-looking. The strict kinds are
+counted over the corpus by distinct repositories (keys) and owners. A value that many
+repositories or owners share is an example; one that few have is live-looking. The strict kinds are
 always reported. The loose kinds (``token``, ``login``) would drown the result in ids and
 examples, so their matches are reported only where the value is live-looking.
 
@@ -28,6 +28,8 @@ LOOSE = (
 LEAST_VALUE = 6
 #: A value that more owners than this have is an example.
 MOST_OWNERS = 2
+#: So is one that more repositories than this have, be it of one owner.
+MOST_REPOSITORIES = 10
 MARK, OTHER = "\x01", "\x02"
 
 
@@ -95,27 +97,31 @@ def _values(found: DataFrame) -> DataFrame:
 
 
 def ownership(values: DataFrame) -> DataFrame:
-    """``(secret, repositories, owners)``: rows and distinct owners that have the value."""
-    by_owner = values.groupBy("secret", "_owner").agg(F.count(F.lit(1)).alias("n"))
-    return by_owner.groupBy("secret").agg(
-        F.sum("n").alias("repositories"), F.count(F.lit(1)).alias("owners")
-    )
+    """``(secret, repositories, owners)``: distinct keys and distinct owners that have the value."""
+    counts = [
+        values.select("secret", of).distinct().groupBy("secret").agg(F.count(F.lit(1)).alias(name))
+        for of, name in (("_key", "repositories"), ("_owner", "owners"))
+    ]
+    return counts[0].join(counts[1], "secret")
 
 
 def scan(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", most_owners: int = MOST_OWNERS
-) -> DataFrame:
-    """``(_key, _hash, base, spans, n_live, n_examples)`` of every row.
+    docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source",
+    most_owners: int = MOST_OWNERS, most_repositories: int = MOST_REPOSITORIES,
+) -> DataFrame:
+    """``(_key, _hash, base, spans, n_live, n_examples, repositories, owners)`` of every row.
 
     ``base`` are the spans of the strict kinds, ``spans`` all of them with the loose ones
     whose value is live-looking: ``array<struct<start, order, end, value>>`` in code points,
-    end exclusive. ``n_live`` and ``n_examples`` count the row's distinct values by verdict.
-    A null text is empty and has no spans. Null owners count as one owner. Repeated rows
-    get equal results. Other columns aren't read; an empty table gives none.
+    end exclusive. ``n_live`` and ``n_examples`` count the row's distinct values by verdict;
+    ``repositories`` and ``owners`` are the figures of its most widely copied value, 0 without any.
+    A null text is empty and has no spans. Null owners count as one owner, null keys as one
+    repository. Repeated rows get equal results and count once. Other columns aren't read; an empty table gives none.
     """
     found = materialise(candidates(docs, key, text, owner), "candidates")
     values = materialise(_values(found), "values")
-    live = ownership(values).select("secret", (F.col("owners") <= most_owners).alias("live"))
+    few = (F.col("owners") <= most_owners) & (F.col("repositories") <= most_repositories)
+    live = ownership(values).withColumn("live", few)
     verdicts = (
         values.select("_key", "_hash", "secret").distinct().join(live, "secret")
         .groupBy("_key", "_hash")
@@ -123,6 +129,8 @@ def scan(
             F.collect_set(F.when(F.col("live"), F.col("secret"))).alias("own"),
             F.count_if("live").alias("n_live"),
             F.count_if(~F.col("live")).alias("n_examples"),
+            F.max("repositories").alias("repositories"),
+            F.max("owners").alias("owners"),
         )
         .withColumnsRenamed({"_key": "_k", "_hash": "_h"})
     )
@@ -134,6 +142,8 @@ def scan(
         F.array_sort(F.concat("strict", F.coalesce(added, F.array().cast(SPANS)))).alias("spans"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"),
         F.coalesce("n_examples", F.lit(0)).alias("n_examples"),
+        F.coalesce("repositories", F.lit(0)).alias("repositories"),
+        F.coalesce("owners", F.lit(0)).alias("owners"),
     )
 
 
@@ -146,7 +156,7 @@ def report(scanned: DataFrame, key: str = "doc_id") -> DataFrame:
     ]
     return scanned.select(
         F.col("_key").alias(key), *counts, F.sha2(_line(F.col("base")), 256).alias("base_sha256"),
-        _line(F.col("spans")).alias("spans"), "n_live", "n_examples",
+        _line(F.col("spans")).alias("spans"), "n_live", "n_examples", "repositories", "owners",
     )
 
 

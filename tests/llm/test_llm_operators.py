@@ -470,3 +470,16 @@ def test_spelled_words_weigh_all_their_occurrences():
     # every decision of every occurrence is counted
     symbols = [np.append(np.frombuffer(w, np.uint8), scoring.CLOSE).astype(np.int64) for w in words]
     assert root.sum() == sum(k * code.length[s].sum() for k, s in zip(n, symbols, strict=True))
+
+
+def test_values_copied_within_one_owner_are_examples(spark):
+    own, copied, both = "Ab3dEf6hIj9kLm2nOp5qRs8t", "Zz9yXx8wVv7uTt6sRr5qPp4o", "Qq1wWe2eRr3tTy4yUu5iIo6p"
+    rows = [(i, f"note {i} {copied}", "one") for i in range(secrets.MOST_REPOSITORIES + 1)]
+    # repeated rows are one repository
+    rows += [(100, f"mine {own}", "one")] * 30 + [(200 + i, f"two {both}", f"owner{i % 2}") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    by = {r.doc_id: r for r in secrets.report(secrets.scan(docs)).collect()}
+    found = {i: (by[i].n_live, by[i].n_examples, by[i].repositories, by[i].owners) for i in (0, 100, 200)}
+    assert found == {0: (0, 1, secrets.MOST_REPOSITORIES + 1, 1), 100: (1, 0, 1, 1), 200: (1, 0, 4, 2)}
+    clean = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert clean[0] == f"note 0 {copied}" and clean[100] == "mine [secret]"
