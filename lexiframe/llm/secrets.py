@@ -23,7 +23,7 @@ ASSIGN = (
 STRICT = (("assign", ASSIGN, 1), ("access", "(AKIA[A-Z0-9]{16,})", 1), ("hex", "([0-9a-f]{24,})", 1))
 LOOSE = (
     ("token", "([A-Za-z0-9_-]{24,})", 1),
-    ("login", r"://[^\x20\x09-\x0D:/@]{1,100}:([^\x20\x09-\x0D:/@]{6,100})@", 1),
+    ("login", r"://[^\x20\x09-\x0D:/@]+:([^\x20\x09-\x0D:/@]{6,})@", 1),
 )
 LEAST_VALUE = 6
 #: A value that more owners than this have is an example.

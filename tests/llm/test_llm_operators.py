@@ -483,3 +483,11 @@ def test_values_copied_within_one_owner_are_examples(spark):
     assert found == {0: (0, 1, secrets.MOST_REPOSITORIES + 1, 1), 100: (1, 0, 1, 1), 200: (1, 0, 4, 2)}
     clean = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
     assert clean[0] == f"note 0 {copied}" and clean[100] == "mine [secret]"
+
+
+@pytest.mark.parametrize("user, password", [("u" * 101, "s3cr3tpass"), ("me", "p!" * 60), ("u" * 30_000, "p!" * 30_000)])
+def test_long_logins_are_found(spark, user, password):
+    text = f"see http://{user}:{password}@host/x"
+    docs = spark.createDataFrame([(1, text, "a")], "doc_id bigint, text string, source string")
+    assert secrets.report(secrets.scan(docs)).first().spans == f"login:8:{text.index('@') + 1}"
+    assert secrets.redact(docs).first().text == "see http[secret]host/x"
