@@ -443,20 +443,21 @@ def test_escaping_is_reversible(spark, seed):
 
 
 def test_summed_counts_are_exact():
-    """Counts above 65,535 keep their ratio on the way from the tasks to the model."""
-    learners = [scoring.Learner(scoring.Code.of([1, 1]), scoring.BLOCK_BITS, 1) for _ in range(2)]
-    for learner in learners:
-        learner.tables[0][:2] = 2**25 + 1, 70_000
-        learner.decisions = 1.0
-    rows = [b for learner in learners for b in scoring._rows(learner)]
-    found = {r["part"]: r["data"] for b in scoring._summed(rows) for r in b.to_pylist()}
-    cell = int(np.frombuffer(found[0], np.int16)[0])
-    assert cell >> 8 == round(math.log(140_000.4 / (2**26 + 2.4)) * scoring.SCALE)
+    """Counts above 65,535 keep their ratio on the way from the chunks to the entries."""
+    code = scoring.Code.of([1, 1])
+    context, symbols = np.array([7, 7], np.uint64), np.array([0, 1])
+    n = np.where(code.decisions(symbols)[2], 140_000, 2**26 + 2)
+    ask = [scoring._batch(["to", "chunk", "data"], 0, c, scoring.question(context, symbols, n // 2)) for c in (0, 1)]
+    found = [r for b in scoring._answered(SimpleNamespace(value=code), lambda x: x)(ask) for r in b.to_pylist()]
+    assert [r["chunk"] for r in found] == [0, 1]
+    for r in found:
+        alone, cell = scoring.answered(r["data"])
+        assert (alone == -1).all() and (cell >> 8 == round(math.log(140_000.4 / (2**26 + 2.4)) * scoring.SCALE)).all()
     # a cell goes on counting beyond what a single-precision number can
-    symbols, before = np.zeros(3, np.int64), learners[0].root[2 * 0 : 2].sum()
-    learners[0].tables[0][:] = 2**24
-    learners[0].learn(symbols, np.zeros((1, 3), np.uint64))
-    assert learners[0].tables[0].sum() == 2**24 * len(learners[0].tables[0]) + 3 and learners[0].root[:2].sum() == before + 3
+    learner = scoring.Learner(code, scoring.BLOCK_BITS, 1)
+    learner.tables[0][:] = 2**24
+    learner.learn(np.zeros(3, np.int64), np.zeros((1, 3), np.uint64))
+    assert learner.tables[0].sum() == 2**24 * len(learner.tables[0]) + 3 and learner.root[:2].sum() == 3
 
 
 def test_spelled_words_weigh_all_their_occurrences():
@@ -465,7 +466,7 @@ def test_spelled_words_weigh_all_their_occurrences():
     shared = SimpleNamespace(value=SimpleNamespace(bytes=code))
     batch = pa.RecordBatch.from_pydict({"word": pa.array(words, pa.binary()), "n": pa.array(n, pa.int64())})
     found = list(scoring._learnt_bytes(shared, scoring.BLOCK_BITS)([batch]))
-    root = next(r["data"] for b in found for r in b.to_pylist() if r["part"] == -1)
+    root = next(r["data"] for b in found for r in b.to_pylist() if r["part"] == 2)
     root = np.frombuffer(zstandard.ZstdDecompressor().decompress(root), np.float64)
     # every decision of every occurrence is counted
     symbols = [np.append(np.frombuffer(w, np.uint8), scoring.CLOSE).astype(np.int64) for w in words]
@@ -491,3 +492,41 @@ def test_long_logins_are_found(spark, user, password):
     docs = spark.createDataFrame([(1, text, "a")], "doc_id bigint, text string, source string")
     assert secrets.report(secrets.scan(docs)).first().spans == f"login:8:{text.index('@') + 1}"
     assert secrets.redact(docs).first().text == "see http[secret]host/x"
+
+
+def test_every_context_keeps_its_own_counts():
+    """Entries are those of exact counts, for more contexts than the tasks' tables have cells."""
+    rnd = np.random.default_rng(1)
+    code = scoring.Code.of([5, 3, 2, 1])
+    context = scoring.mixed(np.repeat(np.arange((1 << scoring.TABLE_BITS) + 1000, dtype=np.uint64), 2))
+    symbols = rnd.integers(0, 4, len(context))
+    names, symbol, of = scoring.pairs(symbols, context)
+    n = np.bincount(of)
+    found = scoring.entries(code, names, symbol, n)
+    length = code.length[symbol]
+    # at the root every context has been seen exactly twice
+    assert (found[np.cumsum(length) - length] & 255 == 2).all()
+    at, node, bit = code.decisions(symbol[:1000])
+    whole = names[:1000] != names[1000]
+    plain = Counter()
+    for i, x, b in zip(at, node, bit, strict=True):
+        plain[int(names[i]), int(x), int(b)] += int(n[i])
+    for k, (i, x) in enumerate(zip(at, node, strict=True)):
+        if whole[i]:
+            counts = np.array([plain[int(names[i]), int(x), b] for b in (0, 1)])
+            assert found[k] == scoring.quantised(counts)[0]
+
+
+def test_scores_do_not_depend_on_shards(spark, monkeypatch):
+    rnd = random.Random(5)
+    docs = spark.createDataFrame([(i, words(rnd, 40, 300)) for i in range(200)], "doc_id bigint, text string").coalesce(1)
+    out = []
+    for shard, limit in ((1 << 20, 1 << 20), (1 << 10, 1 << 10)):
+        monkeypatch.setattr(scoring, "SHARD", shard)
+        monkeypatch.setattr(scoring, "CHUNK", limit)
+        monkeypatch.setattr(scoring, "SPELLED_CHUNK", limit)
+        out.append({r.doc_id: r.score for r in scoring.score(docs).collect()})
+    assert out[0] == pytest.approx(out[1], rel=0.03)
+    # the dictionary is not cut at a fixed number of words
+    counts = scoring.count_words(docs)
+    assert len(scoring.lexicon(counts, 200, 8000 // 40, 1)[0].symbol) == min(200, counts.count())
