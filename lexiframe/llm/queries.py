@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..catalog.registry import Registry, table
 from ..sources.scratch import materialise
-from . import archives, bpe, chat, digests, minhash, mixing, repetition, scoring, secrets, superkmers
+from . import archives, bpe, chat, digests, minhash, mixing, packing, repetition, scoring, secrets, superkmers
 
 registry = Registry()
 query = registry.add
@@ -167,3 +167,11 @@ def tokenization_automaton(spark, d):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op11_best_fit")
+def best_fit(spark, d):
+    tokenizer = bpe.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(table(spark, d, "documents"), tokenizer).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
