@@ -5,7 +5,21 @@ from pyspark.sql import functions as F
 
 from ..catalog.registry import Registry, table
 from ..sources.scratch import materialise
-from . import archives, bpe, chat, digests, minhash, mixing, packing, repetition, scoring, secrets, superkmers
+from . import (
+    archives,
+    bpe,
+    chat,
+    collocations,
+    digests,
+    importance,
+    minhash,
+    mixing,
+    packing,
+    repetition,
+    scoring,
+    secrets,
+    superkmers,
+)
 
 registry = Registry()
 query = registry.add
@@ -175,3 +189,83 @@ def best_fit(spark, d):
     return packing.pack(table(spark, d, "documents"), tokenizer).select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
     )
+
+
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split(translate(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '.,;:!?' || chr(11) || chr(12) || chr(13), repeat(chr(10), 9)), chr(10))) AS piece
+  FROM documents),
+lists AS (
+  SELECT lang, list_filter(string_split(replace(piece, chr(9), ' '), ' '), lambda w: w <> '') AS ws FROM pieces),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM lists GROUP BY lang),
+runs AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' '))) AS phrase
+  FROM lists, range(1, 5) AS r(size) WHERE len(ws) >= size),
+counts AS (SELECT lang, phrase, size, count(*)::BIGINT AS a FROM runs GROUP BY ALL HAVING count(*) >= 30),
+wide AS (SELECT *, string_split(phrase, ' ') AS ws FROM counts WHERE size > 1),
+parts AS (
+  SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS head, array_to_string(ws[k + 1:size], ' ') AS tail
+  FROM wide CROSS JOIN range(1, 4) AS c(k) WHERE k < size),
+cuts AS (
+  SELECT p.lang, p.phrase, p.a, k, l.a AS l, r.a AS r, (2000000::HUGEINT * p.a // (l.a + r.a))::BIGINT AS score
+  FROM parts p
+  JOIN counts l ON l.lang = p.lang AND l.phrase = p.head
+  JOIN counts r ON r.lang = p.lang AND r.phrase = p.tail),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_runs AS (
+  SELECT w.lang, w.a, array_to_string(w.ws[i:i + n - 1], ' ') AS phrase
+  FROM wide w, range(2, 4) AS x(n), range(1, 4) AS y(i) WHERE n < w.size AND i + n - 1 <= w.size),
+longer AS (SELECT lang, phrase, max(a) AS longer FROM inner_runs GROUP BY lang, phrase),
+kept AS (
+  SELECT lowest.* FROM lowest LEFT JOIN longer USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@query("op12_quotient_collocations", PHRASES_SQL)
+def quotient_collocations(spark, d):
+    return collocations.phrases(table(spark, d, "documents"))
+
+
+RESAMPLE_SQL = r"""
+WITH crcs AS (
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS c
+  FROM range(256) AS r(b)),
+texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 't', item_id, text FROM benchmark),
+lists AS (
+  SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM texts),
+words AS (SELECT side, id, unnest(ws) AS word FROM lists),
+hexes AS (SELECT DISTINCT word, hex(encode(word)) AS h FROM words),
+hashed AS (
+  SELECT word, xor(list_reduce(list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+                               lambda acc, b: xor(acc >> 8, c[(xor(acc, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM hexes, crcs),
+used AS (SELECT side, id, bucket FROM words JOIN hashed USING (word)),
+sides AS (
+  SELECT b AS bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 't') AS t
+  FROM range(10000) AS r(b) LEFT JOIN used ON bucket = b GROUP BY b),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                                 / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM sides),
+weights AS (SELECT id, sum(gain)::BIGINT AS total, count(*) AS n FROM used JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id),
+scored AS (
+  SELECT id AS doc_id, len(ws)::BIGINT AS n_features, coalesce(floor(total / n), 0)::BIGINT AS weight,
+         weight + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM lists LEFT JOIN weights USING (id) WHERE side = 'd'),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+         count(*) FILTER (n_features >= 20) OVER () AS n_able FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n_able // 100 THEN place END AS rank
+FROM placed
+"""
+
+
+@query("op13_importance_resampling", RESAMPLE_SQL)
+def importance_resampling(spark, d):
+    return importance.resample(table(spark, d, "documents"), table(spark, d, "benchmark"))
