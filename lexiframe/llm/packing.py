@@ -19,6 +19,7 @@ over the counts of the tasks that cut them.
 """
 
 import os
+import re
 from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import chain
@@ -38,6 +39,10 @@ CHUNK = 1 << 20
 #: Distinct runs of characters whose ids a worker remembers, in each of two generations.
 REMEMBERED = 150_000
 INTS = 4
+#: Basic and Latin-1 letters, and the marks of ASCII.
+LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªºµ")
+MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+PLAIN = re.compile(f"([{LETTERS}]+)([{re.escape(MARKS)}]*)")
 
 
 class Rooms:
@@ -144,7 +149,9 @@ class Ids:
     """Ids, as bytes, of runs of characters without ASCII white space.
 
     No rule of the tokenizer looks beyond such a run. The library encodes each distinct one;
-    those not met again for long are forgotten.
+    those not met again for long are forgotten. Most are letters and punctuation after them.
+    If the rules take each letter for itself and part letters from punctuation, which is
+    tried out first, such a run is cut here, and only new pieces go to the library's model.
     """
 
     def __init__(self, tokenizer: str):
@@ -155,16 +162,51 @@ class Ids:
         self.rules.no_truncation()
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        names = sorted((x.content for x in self.rules.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.special = re.compile("|".join(map(re.escape, names)) or "(?!)")
+        self.letters = self._letters()
+
+    def _cut(self, text: str) -> list[str]:
+        """The pieces that normaliser and splitter make of a text."""
+        if self.rules.normalizer:
+            text = self.rules.normalizer.normalize_str(text)
+        return [x for x, _ in self.rules.pre_tokenizer.pre_tokenize_str(text)] if self.rules.pre_tokenizer else [text]
+
+    def _letters(self) -> dict[int, str] | None:
+        """What the rules make of each letter; nothing if a word is more than its letters."""
+        each = {ord(x): self._cut(x) for x in LETTERS}
+        if any(len(x) != 1 for x in each.values()):
+            return None
+        found = {c: x[0] for c, x in each.items()}
+        return found if self._cut(LETTERS + MARKS) == [LETTERS.translate(found), MARKS] else None
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = self.pieces[piece] = np.array([x.id for x in self.rules.model.tokenize(piece)], "<u4").tobytes()
+        return ids
 
     def learn(self, runs: set[bytes]) -> None:
         if len(self.young) > REMEMBERED:
             self.young, self.old = {}, self.young
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
         runs -= self.young.keys()
         known = runs & self.old.keys()
         self.young.update((x, self.old[x]) for x in known)
-        new = list(runs - known)
-        found = self.rules.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)
-        for run, encoding in zip(new, found, strict=True):
+        others = []
+        for run in runs - known:
+            text = run.decode()
+            plain = PLAIN.fullmatch(text) if self.letters else None
+            if plain and not self.special.search(text):
+                word, marks = plain.groups()
+                ids = self._piece(word.translate(self.letters))
+                self.young[run] = ids + self._piece(marks) if marks else ids
+            else:
+                others.append((run, text))
+        found = self.rules.encode_batch_fast([text for _, text in others], add_special_tokens=False)
+        for (run, _), encoding in zip(others, found, strict=True):
             self.young[run] = np.array(encoding.ids, "<u4").tobytes()
 
     def of(self, texts: list[bytes]) -> list[bytes]:
