@@ -5,7 +5,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.vectors import sparse_entries, vector_sum
-from ..operators import profile, terms, tokens
+from ..operators import profile, segmentation, terms, tokens
 from ..plans.documents import lines_of, scoring_set, scoring_set_with_ids, training_set_with_ids
 from ..plans.stages import HASH_SIZE, count_stage, hashed_tfidf_stages
 from ..sources.scratch import materialise
@@ -135,6 +135,80 @@ def script_run_tokens(spark, d):
     return terms.word_count(tokens.tokenize(documents(spark, d), "text", "regex"))
 
 
+PHRASE = r"\p{L}+(?: \p{L}+){0,7}"
+
+LATTICE_SQL = """
+    WITH phrases AS (SELECT doc_id, unnest(ps) AS phrase, generate_subscripts(ps, 1) AS pos
+                FROM (SELECT doc_id, regexp_extract_all(lower(text), '\\p{L}+(?: \\p{L}+){0,7}') AS ps FROM documents)),
+    dict AS (SELECT word, count(*) AS n FROM (SELECT unnest(string_split(phrase, ' ')) AS word FROM phrases)
+             WHERE length(word) <= 12 GROUP BY word HAVING count(*) >= 2 ORDER BY n DESC, word LIMIT 20000),
+    total AS (SELECT sum(n)::DOUBLE AS total FROM dict),
+    costs AS (SELECT word, round(ln(total / n) * 1000000)::BIGINT AS cost FROM dict, total),
+    glued AS (SELECT DISTINCT replace(phrase, ' ', '') AS run FROM phrases),
+    parts AS (SELECT run, i, n, substr(run, i, n) AS word
+              FROM (SELECT run, unnest(range(1, length(run) + 1)) AS i FROM glued), range(1, 13) AS r(n)
+              WHERE i + n - 1 <= length(run)),
+    arcs AS (SELECT run, i, n, coalesce(cost, round(ln(total) * 1000000)::BIGINT) AS cost
+             FROM parts LEFT JOIN costs USING (word), total WHERE cost IS NOT NULL OR n = 1),
+    spots AS (SELECT run, i, list({n: n::BIGINT, cost: cost}) AS arcs FROM arcs GROUP BY run, i),
+    lattice AS (SELECT run, list({arcs: arcs, best: []::STRUCT(cost BIGINT, words BIGINT, neg BIGINT, path BIGINT[])[]}
+                                 ORDER BY i DESC) AS spots FROM spots GROUP BY run),
+    cut AS (SELECT run, list_reduce(spots, lambda after, x: {
+                arcs: x.arcs,
+                best: list_prepend(list_min(list_transform(x.arcs, lambda a: {
+                    cost: a.cost + after.best[a.n].cost, words: 1 + after.best[a.n].words, neg: -a.n,
+                    path: list_prepend(a.n, after.best[a.n].path)})), after.best)[1:12]},
+                {arcs: []::STRUCT(n BIGINT, cost BIGINT)[],
+                 best: [{cost: 0::BIGINT, words: 0::BIGINT, neg: 0::BIGINT, path: []::BIGINT[]}]}).best[1].path AS path
+            FROM lattice),
+    ends AS (
+        SELECT doc_id, pos, run, path, list_transform(range(1, len(path) + 1), lambda k: list_sum(path[1:k])::BIGINT) AS found,
+               list_transform(range(1, len(ws) + 1), lambda k: length(array_to_string(ws[1:k], ''))) AS given
+        FROM (SELECT *, string_split(phrase, ' ') AS ws FROM phrases) JOIN cut ON run = replace(phrase, ' ', ''))
+"""
+
+
+@query(
+    "segmented_phrases",
+    f"""
+    {LATTICE_SQL}
+    SELECT doc_id, count(*) AS n_phrases, sum(len(given))::BIGINT AS n_words, sum(len(found))::BIGINT AS n_segments,
+           sum(len(list_intersect(found, given)))::BIGINT AS n_shared,
+           md5(string_agg(array_to_string(list_transform(range(1, len(path) + 1),
+               lambda k: substr(run, found[k] - path[k] + 1, path[k])), ' '), chr(10) ORDER BY pos)) AS digest
+    FROM ends GROUP BY doc_id
+    """,
+)
+def segmented_phrases(spark, d):
+    """Phrases of letters without their spaces, cut again by a dictionary of the corpus; how many ends are shared?"""
+    phrases = documents(spark, d).select(
+        "doc_id", F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit(PHRASE), 0)).alias("pos", "phrase")
+    )
+    split = phrases.withColumn("given", F.split("phrase", " "))
+    counts = materialise(segmentation.dictionary(split, "given", size=20_000, least=2), "dictionary")
+    glued = split.withColumn("glued", F.array_join("given", ""))
+    cut = segmentation.segment_runs(glued, "glued", counts, "found", run=r"\p{L}+")
+    shared = F.size(F.array_intersect(_ends("given"), _ends("found")))
+    line = F.struct("pos", F.array_join("found", " ").alias("line"))
+    sizes = (F.size("given").alias("n_given"), F.size("found").alias("n_found"))
+    rows = cut.select("doc_id", *sizes, shared.alias("shared"), line.alias("line"))
+    lines = F.transform(F.sort_array(F.collect_list("line")), lambda x: x["line"])
+    return rows.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_phrases"),
+        F.sum("n_given").alias("n_words"),
+        F.sum("n_found").alias("n_segments"),
+        F.sum("shared").alias("n_shared"),
+        F.md5(F.array_join(lines, "\n")).alias("digest"),
+    )
+
+
+def _ends(words):
+    """Where each word of a short list ends if they are written without spaces."""
+    return F.transform(
+        F.sequence(F.lit(1), F.size(words)), lambda k: F.length(F.array_join(F.slice(words, F.lit(1), k), ""))
+    )
+
+
 @query("segmented_words")
 def segmented_words(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
