@@ -1,8 +1,8 @@
 """Queries over the given tables, each with its SQL twin where SQL can say it."""
 
-from . import files, labels, models, rows, text
+from . import files, labels, models, relational, rows, text
 
-MODULES = (rows, text, labels, files, models)
+MODULES = (rows, text, labels, files, models, relational)
 
 
 def all_queries() -> dict:
