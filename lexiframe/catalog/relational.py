@@ -2,7 +2,7 @@
 
 from pyspark.sql import Window, functions as F
 
-from ..operators import split, terms, trees
+from ..operators import bayes, logistic, split, terms, trees
 from ..operators.trees import Growth
 from ..sources.scratch import materialise
 from .registry import Registry, table
@@ -178,5 +178,109 @@ def statistics_forest_importances(spark, d):
     return vocabulary.join(F.broadcast(shares), "feature").select("word", F.round("importance", 6).alias("importance"))
 
 
+SMOOTHINGS = (0.01, 1.0, 30.0)
+
+TUNED_SQL = f"""
+    WITH {TOKENS_SQL},
+    docs AS (SELECT doc_id, lang, {BUCKET_SQL.format(key='doc_id')} % 3 AS fold FROM documents),
+    vocab AS (SELECT word FROM freq WHERE df >= 2 ORDER BY n DESC, word LIMIT 21000),
+    known AS (SELECT tf.doc_id, tf.lang, word, tf, fold FROM tf SEMI JOIN vocab USING (word) JOIN docs USING (doc_id)),
+    folds AS (SELECT unnest(range(3)) AS f),
+    grid AS (SELECT unnest([{', '.join(map(str, SMOOTHINGS))}])::DOUBLE AS s),
+    others AS (SELECT f, lang, word, sum(tf) AS m FROM known JOIN folds ON fold <> f GROUP BY ALL),
+    words AS (SELECT f, lang, sum(m) AS t FROM others GROUP BY ALL),
+    sizes AS (SELECT f, lang, count(*) AS d FROM docs JOIN folds ON fold <> f GROUP BY ALL),
+    classes AS (SELECT f, lang, s, d, t, ln((d + s) / (sum(d) OVER (PARTITION BY f, s) + count(*) OVER (PARTITION BY f, s) * s)) AS prior,
+                       ln(s) - ln(t + s * (SELECT count(*) FROM vocab)) AS slope
+                FROM sizes JOIN words USING (f, lang), grid),
+    lengths AS (SELECT d.doc_id, d.lang AS truth, d.fold AS f, coalesce(sum(tf), 0) AS size
+                FROM docs d LEFT JOIN known USING (doc_id) GROUP BY ALL),
+    gains AS (SELECT k.doc_id, o.lang, s, sum(tf * (ln(m + s) - ln(s))) AS gain
+              FROM known k JOIN others o ON o.word = k.word AND o.f = k.fold, grid GROUP BY ALL),
+    scores AS (SELECT l.doc_id, f, truth, c.lang, c.s, round(prior + slope * size + coalesce(gain, 0), 6) AS score
+               FROM lengths l JOIN classes c USING (f) LEFT JOIN gains g ON g.doc_id = l.doc_id AND g.lang = c.lang AND g.s = c.s),
+    best AS (SELECT f, s, truth, lang AS prediction FROM scores
+             QUALIFY row_number() OVER (PARTITION BY doc_id, s ORDER BY score DESC, lang) = 1),
+    sides AS (SELECT f, s, k, sum(size) AS size, sum(taken) AS taken, sum(hits) AS hits
+              FROM (SELECT f, s, truth AS k, 1 AS size, 0 AS taken, (truth = prediction)::INT AS hits FROM best
+                    UNION ALL SELECT f, s, prediction, 0, 1, 0 FROM best) GROUP BY ALL),
+    quality AS (SELECT f, s, sum(size * 2.0::DOUBLE * hits / (size + taken)) / sum(size) AS f1 FROM sides GROUP BY ALL),
+    chosen AS (SELECT s FROM quality GROUP BY s ORDER BY round(avg(f1), 6) DESC, s LIMIT 1)
+    SELECT s AS smoothing, f::INTEGER AS fold, round(f1, 6) AS f1, s = (SELECT s FROM chosen) AS is_chosen FROM quality
+"""
+
+
+@query("tuned_bayes", TUNED_SQL)
+def tuned_bayes(spark, d):
+    """F1 of each fold for each smoothing, from one count by class and fold, and the smoothing to take."""
+    words = document_words(spark, d, "lang").withColumnRenamed("lang", "label")
+    folds = split.hash_fold(words, "doc_id", 3, SEED)
+    scores = materialise(bayes.tune_bayes(folds, "doc_id", smoothings=SMOOTHINGS), "tuned")
+    chosen = F.lit(bayes.best_smoothing(scores))
+    return scores.select("smoothing", "fold", F.round("f1", 6).alias("f1"), (F.col("smoothing") == chosen).alias("is_chosen"))
+
+
+# The rule holds for four orders in five; the others go by the customer.
+POINTS_SQL = """
+    points AS (SELECT o_orderkey, o_totalprice / 100000 AS x1, (o_custkey % 10)::DOUBLE / 10 AS x2,
+                      CASE WHEN o_orderkey % 5 = 0 THEN (o_custkey % 2)::DOUBLE
+                           ELSE (o_totalprice / 100000 + (o_custkey % 10)::DOUBLE / 10 > 2)::INT::DOUBLE END AS y FROM orders)
+"""
+STEPS = 4
+
+
+def newton_sql(steps: int, reg: float) -> str:
+    """CTEs ``w0`` to ``w<steps>`` with the coefficients b0, b1, b2 after each step, by Cramer's rule."""
+    parts = ["w0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2)"]
+    for k in range(steps):
+        parts.append(f"""p{k} AS (SELECT x1, x2, y, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM points, w{k}),
+        h{k} AS (SELECT avg(y - p) AS g0, avg((y - p) * x1) - {reg} * any_value(b1) AS g1, avg((y - p) * x2) - {reg} * any_value(b2) AS g2,
+                        avg(p * (1 - p)) AS a, avg(p * (1 - p) * x1) AS b, avg(p * (1 - p) * x2) AS c,
+                        avg(p * (1 - p) * x1 * x1) + {reg} AS d, avg(p * (1 - p) * x1 * x2) AS e, avg(p * (1 - p) * x2 * x2) + {reg} AS f
+                 FROM p{k}, w{k}),
+        q{k} AS (SELECT *, a * (d * f - e * e) - b * (b * f - e * c) + c * (b * e - d * c) AS det FROM h{k}),
+        w{k + 1} AS (SELECT b0 + (g0 * (d * f - e * e) - b * (g1 * f - e * g2) + c * (g1 * e - d * g2)) / det AS b0,
+                            b1 + (a * (g1 * f - e * g2) - g0 * (b * f - e * c) + c * (b * g2 - g1 * c)) / det AS b1,
+                            b2 + (a * (d * g2 - g1 * e) - b * (b * g2 - g1 * c) + g0 * (b * e - d * c)) / det AS b2 FROM q{k}, w{k})""")
+    return ",\n".join(parts)
+
+
+def _points(spark, d):
+    x1, x2 = F.col("o_totalprice") / 100000, (F.col("o_custkey") % 10).cast("double") / 10
+    rule = F.when(F.col("o_orderkey") % 5 == 0, (F.col("o_custkey") % 2).cast("double")).otherwise((x1 + x2 > 2).cast("double"))
+    return table(spark, d, "orders").select("o_orderkey", x1.alias("x1"), x2.alias("x2"), rule.alias("y"))
+
+
+@query(
+    "newton_coefficients",
+    f"""
+    WITH {POINTS_SQL}, {newton_sql(STEPS, 0.01)}
+    SELECT unnest(['intercept', 'x1', 'x2']) AS feature, round(unnest([b0, b1, b2]), 6) AS coefficient FROM w{STEPS}
+    """,
+)
+def newton_coefficients(spark, d):
+    """Coefficients after a fixed number of Newton steps with a penalty."""
+    model = logistic.fit(_points(spark, d), ("x1", "x2"), "y", reg=0.01, steps=STEPS, tolerance=0.0)
+    names = (logistic.INTERCEPT, *model.features)
+    rows = spark.createDataFrame(list(zip(names, model.coefficients)), "feature string, coefficient double")
+    return rows.select("feature", F.round("coefficient", 6).alias("coefficient"))
+
+
+@query(
+    "newton_predictions",
+    f"""
+    WITH {POINTS_SQL}, {newton_sql(8, 0.1)}
+    SELECT o_orderkey, y AS label, round(1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))), 5) AS "myProbability",
+           (1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) > 0.55)::INT::DOUBLE AS prediction FROM points, w8
+    """,
+)
+def newton_predictions(spark, d):
+    """Probabilities and predictions at convergence, with a threshold and a column name of the caller."""
+    points = _points(spark, d)
+    model = logistic.fit(points, ("x1", "x2"), "y", reg=0.1)
+    scored = logistic.score(points, model, threshold=0.55, probability_col="myProbability")
+    return scored.select("o_orderkey", F.col("y").alias("label"), F.round("myProbability", 5).alias("myProbability"), "prediction")
+
+
 QUERIES = registry.queries
 SQL = registry.sql

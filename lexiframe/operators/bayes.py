@@ -1,11 +1,22 @@
-"""Multinomial naive Bayes as joins and aggregates.
+"""Multinomial naive Bayes as joins and aggregates, for any number of classes.
 
-The model MLlib fits on count features, kept as a table with one row per word. It
-needs no vector as long as the vocabulary, and the same steps can be written in SQL.
+The model MLlib fits on count features, kept as long tables: a row for each word with the
+classes it occurs in, and a row for each class. A document's score in class c is
+
+    prior(c) + L ln s - L ln(T(c) + s V) + sum of tf (ln(n(c, w) + s) - ln s)
+
+with s the smoothing, L its words of the vocabulary, V the vocabulary's size, T(c) the class's
+words, and the sum over its words that occur in c. So a document meets only the classes that
+it shares a word with. What the others score depends on L alone; the best of them is read off
+the upper envelope of one line for each class.
+
+Tuning counts each word by class and fold once. What a fold's model is trained on is the
+total less the fold.
 """
 
 from dataclasses import dataclass
 from functools import reduce
+from math import log
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,28 +24,75 @@ from ..sources.scratch import materialise
 from .lookup import lookup_join
 from .terms import MIN_DOCUMENTS, VOCABULARY_SIZE, term_counts
 
+#: Scores are compared to so many places; equal ones go to the first label.
+PLACES = 6
+
+
+@dataclass(frozen=True)
+class Line:
+    """``intercept + slope L`` for the class ``label``."""
+
+    label: str
+    intercept: float
+    slope: float
 
-#: The tables have one column per class.
-MAX_CLASSES = 1000
+
+def upper_envelope(lines: list[Line]) -> list[tuple[int, Line]]:
+    """``(from, line)``: the highest line for whole L >= 0, of equal lines the one of the first label."""
+    best: dict[float, Line] = {}
+    for line in sorted(lines, key=lambda x: (x.slope, -x.intercept, x.label)):
+        best.setdefault(line.slope, line)
+    hull: list[tuple[float, Line]] = []
+    for line in best.values():
+        start = 0.0
+        while hull:
+            since, other = hull[-1]
+            start = (other.intercept - line.intercept) / (line.slope - other.slope)
+            if start > since:
+                break
+            hull.pop()
+            start = 0.0
+        hull.append((max(start, 0.0), line))
+    # the first whole L at which a line is ahead
+    found = [(0 if not i else int(start) + 1, line) for i, (start, line) in enumerate(hull)]
+    return [x for i, x in enumerate(found) if i + 1 == len(found) or found[i + 1][0] > x[0]]
 
 
 @dataclass
 class BayesTable:
-    """``labels`` and ``priors`` in label order; ``words`` holds ``word, w0..wK``.
+    """``words`` holds ``word, classes``, an array of ``(label, gain)`` where the word occurs.
 
-    ``w<i>`` is the log likelihood of the word in class ``i``.
+    ``classes`` holds ``label, intercept, slope``: a class's score of L words none of which
+    occur in it. ``others`` is the envelope of these lines.
     """
 
-    labels: list[str]
-    priors: list[float]
+    classes: DataFrame
     words: DataFrame
+    others: list[tuple[int, Line]]
 
 
-def class_priors(df: DataFrame, label: str = "label") -> DataFrame:
-    """``(label, prior)`` with ``ln((n + 1) / (N + K))``."""
+def class_priors(df: DataFrame, label: str = "label", smoothing: float = 1.0) -> DataFrame:
+    """``(label, prior)`` with ``ln((n + s) / (N + K s))``."""
     sizes = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    total = sizes.agg(F.sum("n") + F.count(F.lit(1))).scalar()
-    return sizes.select("label", F.ln((F.col("n") + 1) / total).alias("prior"))
+    total = sizes.agg(F.sum("n") + F.count(F.lit(1)) * smoothing).scalar()
+    return sizes.select("label", F.ln((F.col("n") + smoothing) / total).alias("prior"))
+
+
+def class_words(df: DataFrame, label: str, words: str, size: int, min_df: int, extra: tuple = ()) -> DataFrame:
+    """``(word, *extra, label, n)`` for the ``size`` most frequent words, counted in one pass; stored."""
+    lists = F.array(F.col(words), F.array_distinct(words))
+    counts = materialise(
+        df.select(F.col(label).alias("label"), *extra, F.posexplode(lists).alias("kind", "list"))
+        .select("label", *extra, "kind", F.explode("list").alias("word"))
+        .groupBy("word", *extra, "label")
+        .agg(F.count_if(F.col("kind") == 0).alias("n"), F.count_if(F.col("kind") == 1).alias("df")),
+        "class-word-counts",
+    )
+    chosen = (
+        counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+        .where(F.col("df") >= min_df).orderBy(F.desc("n"), "word").limit(size).select("word")
+    )
+    return materialise(lookup_join(counts, materialise(chosen, "class-vocabulary"), "word", "inner").drop("df"), "class-words")
 
 
 def train_bayes(
@@ -43,50 +101,41 @@ def train_bayes(
     words: str = "words",
     size: int = VOCABULARY_SIZE,
     min_df: int = MIN_DOCUMENTS,
+    smoothing: float = 1.0,
 ) -> BayesTable:
-    """Count the vocabulary's words per class in one pass and smooth by one."""
-    classes = class_priors(df, label).orderBy("label").limit(MAX_CLASSES + 1).collect()
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"a column per class is kept, at most {MAX_CLASSES}")
-    names = [f"n{i}" for i in range(len(classes))]
-    lists = F.array(F.col(words), F.array_distinct(words))
-    seen = (
-        df.select(F.col(label).alias("label"), F.posexplode(lists).alias("kind", "list"))
-        .select("label", "kind", F.explode("list").alias("word"))
-        .groupBy("word")
-        .agg(
-            F.count_if(F.col("kind") == 1).alias("df"),
-            *[
-                F.count_if((F.col("kind") == 0) & (F.col("label") == row["label"])).alias(name)
-                for name, row in zip(names, classes)
-            ],
-        )
-    )
-    counts = materialise(
-        seen.where(F.col("df") >= min_df)
-        .withColumn("n", reduce(Column.__add__, [F.col(name) for name in names]))
-        .orderBy(F.desc("n"), "word")
-        .limit(size),
-        "class-words",
-    )
-    totals = counts.agg(
-        F.count(F.lit(1)).alias("v"),
-        *[F.sum(f"n{i}").alias(f"t{i}") for i in range(len(classes))],
-    ).first()
-    weights = counts.select(
-        "word",
-        *[
-            F.ln((F.col(f"n{i}") + 1) / F.lit(float((totals[f"t{i}"] or 0) + totals["v"]))).alias(
-                f"w{i}"
-            )
-            for i in range(len(classes))
-        ],
-    )
-    return BayesTable(
-        [row["label"] for row in classes],
-        [row["prior"] for row in classes],
-        materialise(weights, "bayes"),
+    """Count the vocabulary's words per class and smooth; class labels, as text, go through the driver.
+
+    Rows without a label are left out.
+    """
+    known = df.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("string"))
+    counts = class_words(known, label, words, size, min_df)
+    v = counts.agg(F.count_distinct("word")).first()[0]
+    totals = counts.groupBy("label").agg(F.sum("n").alias("t"))
+    slope = F.lit(log(smoothing)) - F.ln(F.coalesce("t", F.lit(0)) + F.lit(smoothing * max(v, 1)))
+    classes = materialise(
+        class_priors(known, label, smoothing).join(totals, "label", "left")
+        .select(F.col("label").cast("string"), F.col("prior").alias("intercept"), slope.alias("slope")),
+        "bayes-classes",
     )
+    gain = F.ln(F.col("n") + smoothing) - F.lit(log(smoothing))
+    entries = counts.groupBy("word").agg(F.collect_list(F.struct("label", gain.alias("gain"))).alias("classes"))
+    lines = [Line(r["label"], r["intercept"], r["slope"]) for r in classes.collect()]
+    return BayesTable(classes, materialise(entries, "bayes"), upper_envelope(lines))
+
+
+def _other(others: list[tuple[int, Line]], size: Column) -> Column:
+    """``(label, score)`` of the best class that shares no word, for so many words."""
+    cases = [
+        F.when(size >= since, F.struct(F.lit(x.label).alias("label"), (F.lit(x.intercept) + F.lit(x.slope) * size).alias("score")))
+        for since, x in reversed(others)
+    ]
+    return F.coalesce(*cases)
+
+
+def _highest(scores: Column) -> Column:
+    """The highest of ``(label, score)`` pairs after rounding; of equal ones the first label."""
+    rounded = F.transform(scores, lambda x: F.struct((-F.round(x["score"], PLACES)).alias("minus"), x["label"].alias("label")))
+    return F.array_min(rounded)
 
 
 def score_bayes(
@@ -94,27 +143,109 @@ def score_bayes(
 ) -> DataFrame:
     """``(id, *keep, prediction, score)``: the best class of each document.
 
-    Scores are rounded to six places; equal ones go to the first label.
+    Scores are rounded to six places; equal ones go to the first label. A model without
+    classes predicts null.
     """
     counts = term_counts(df, id_col, words, keep)
     rows = lookup_join(counts, model.words, "word")
-    scored = rows.groupBy(id_col, *keep).agg(
-        *[
-            F.round(F.lit(p) + F.coalesce(F.sum(F.col("tf") * F.col(f"w{i}")), F.lit(0.0)), 6).alias(
-                f"s{i}"
-            )
-            for i, p in enumerate(model.priors)
-        ]
+    # a pair without a class counts the words of the vocabulary
+    entries = F.concat(
+        F.array(F.struct(F.lit(None).cast("string").alias("_class"), F.lit(1.0).alias("_gain"))),
+        F.transform("classes", lambda x: F.struct(x["label"].alias("_class"), x["gain"].alias("_gain"))),
+    )
+    each = rows.select(id_col, *keep, "tf", F.inline_outer(F.when(F.col("classes").isNotNull(), entries)))
+    sums = each.groupBy(id_col, *keep, "_class").agg(F.sum(F.col("tf") * F.col("_gain")).alias("sum"))
+    sums = lookup_join(sums, model.classes.withColumnRenamed("label", "_class"), "_class")
+    found = sums.groupBy(id_col, *keep).agg(
+        F.coalesce(F.max(F.when(F.col("_class").isNull(), F.col("sum"))), F.lit(0.0)).alias("_size"),
+        F.collect_list(F.when(F.col("_class").isNotNull(), F.struct("_class", "sum", "intercept", "slope"))).alias("_shared"),
+    )
+    if not model.others:
+        return found.select(id_col, *keep, F.lit(None).cast("string").alias("prediction"), F.lit(None).cast("double").alias("score"))
+    scores = F.transform(
+        "_shared",
+        lambda x: F.struct(x["_class"].alias("label"), (x["intercept"] + x["slope"] * F.col("_size") + x["sum"]).alias("score")),
+    )
+    best = _highest(F.concat(scores, F.array(_other(model.others, F.col("_size")))))
+    return found.withColumn("_best", best).select(
+        id_col, *keep, F.col("_best.label").alias("prediction"), (-F.col("_best.minus")).alias("score")
+    )
+
+
+def tune_bayes(
+    df: DataFrame,
+    id_col: str,
+    fold: str = "fold",
+    label: str = "label",
+    words: str = "words",
+    smoothings: tuple[float, ...] = (0.1, 1.0, 10.0),
+    size: int = VOCABULARY_SIZE,
+    min_df: int = MIN_DOCUMENTS,
+) -> DataFrame:
+    """``(smoothing, fold, f1)``: weighted F1 of each fold under the model of the other folds.
+
+    ``fold`` numbers folds from 0. The vocabulary is that of all rows; words are counted once by
+    class and fold, and a model is the total less its fold. For few classes and folds: every
+    document is scored in every class.
+    """
+    folds = (df.agg(F.max(fold)).first()[0] or 0) + 1
+    docs = df.where(F.col(label).isNotNull()).select(id_col, F.col(fold).alias("fold"), F.col(label).alias("label"), F.col(words).alias("words"))
+    counts = class_words(docs, "label", "words", size, min_df, ("fold",))
+    v = counts.agg(F.count_distinct("word")).first()[0]
+    # per class and fold: what is left without the fold; bounded by classes times folds
+    sizes = docs.groupBy("label", "fold").agg(F.count(F.lit(1)).alias("docs"))
+    tokens = counts.groupBy("label", "fold").agg(F.sum("n").alias("tokens"))
+    parts = [r.asDict() for r in sizes.join(tokens, ["label", "fold"], "left").collect()]
+    classes = sorted({r["label"] for r in parts})
+    lines = []
+    for f in range(folds):
+        left = {c: [0, 0] for c in classes}
+        for r in parts:
+            if r["fold"] != f:
+                left[r["label"]][0] += r["docs"]
+                left[r["label"]][1] += r["tokens"] or 0
+        total = sum(d for d, _ in left.values())
+        for i, s in enumerate(smoothings):
+            for c, (d, t) in left.items():
+                prior = log((d + s) / (total + len(classes) * s))
+                lines.append((f, i, c, prior, log(s) - log(t + s * max(v, 1))))
+    lines = docs.sparkSession.createDataFrame(lines, f"fold int, at int, class {dict(df.dtypes)[label]}, intercept double, slope double")
+    parts = F.struct(F.sum("n").alias("n"), F.collect_list(F.struct("fold", "n")).alias("folds"))
+    of_word = counts.groupBy("word", "label").agg(parts.alias("x"))
+    without = F.transform(
+        F.sequence(F.lit(0), F.lit(folds - 1)),
+        lambda f: F.aggregate(F.filter("x.folds", lambda p: p["fold"] == f), F.col("x.n"), lambda n, p: n - p["n"]),
+    )
+    left = of_word.select("word", "label", without.alias("left"))
+    entries = materialise(
+        left.groupBy("word").agg(F.collect_list(F.struct(F.col("label").alias("class"), "left")).alias("classes")), "fold-words"
     )
-    best = F.array_max(
-        F.array(
-            *[
-                F.struct(F.col(f"s{i}").alias("score"), F.lit(-i).alias("at"))
-                for i in range(len(model.labels))
-            ]
-        )
+    rows = lookup_join(term_counts(docs, id_col, "words", ("fold", "label")), entries, "word")
+    known = F.sum(F.when(F.col("classes").isNotNull(), F.col("tf")).otherwise(0))
+    size_of = rows.groupBy(id_col, "fold", "label").agg(known.alias("size"))
+    gains = [
+        F.sum(F.col("tf") * (F.ln(F.get("left", F.col("fold")) + s) - F.lit(log(s)))).alias(f"g{i}") for i, s in enumerate(smoothings)
+    ]
+    shared = rows.select(id_col, "fold", "tf", F.inline("classes")).groupBy(id_col, "fold", "class").agg(*gains)
+    # every document in every class: the lines of its fold are at most classes times smoothings
+    every = size_of.join(F.broadcast(lines), "fold").join(shared, [id_col, "fold", "class"], "left")
+    gain = reduce(lambda acc, i: acc.when(F.col("at") == i, F.col(f"g{i}")), range(1, len(smoothings)), F.when(F.col("at") == 0, F.col("g0")))
+    score = F.round(F.col("intercept") + F.col("slope") * F.col("size") + F.coalesce(gain, F.lit(0.0)), PLACES)
+    best = F.min(F.struct((-score).alias("minus"), "class"))["class"].alias("prediction")
+    predicted = every.groupBy(id_col, "fold", "label", "at").agg(best)
+    sides = F.array(
+        F.struct(F.col("label").alias("k"), F.lit(1).alias("size"), F.lit(0).alias("taken"), (F.col("label") == F.col("prediction")).cast("int").alias("hits")),
+        F.struct(F.col("prediction").alias("k"), F.lit(0).alias("size"), F.lit(1).alias("taken"), F.lit(0).alias("hits")),
     )
-    names = F.array(*[F.lit(name) for name in model.labels])
-    return scored.withColumn("_best", best).select(
-        id_col, *keep, F.get(names, -F.col("_best.at")).alias("prediction"), "_best.score"
+    per_class = predicted.select("at", "fold", F.inline(sides)).groupBy("at", "fold", "k").agg(
+        F.sum("size").alias("size"), F.sum("taken").alias("taken"), F.sum("hits").alias("hits")
     )
+    f1 = F.sum(F.col("size") * 2.0 * F.col("hits") / (F.col("size") + F.col("taken"))) / F.sum("size")
+    grid = F.array(*map(F.lit, smoothings))
+    return per_class.groupBy("at", "fold").agg(f1.alias("f1")).select(F.get(grid, F.col("at")).alias("smoothing"), "fold", "f1")
+
+
+def best_smoothing(scores: DataFrame) -> float:
+    """The smoothing with the highest mean F1 over folds, to six places; of equal ones the least."""
+    means = scores.groupBy("smoothing").agg(F.round(F.avg("f1"), PLACES).alias("f1"))
+    return means.orderBy(F.desc("f1"), "smoothing").first()["smoothing"]

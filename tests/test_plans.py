@@ -12,8 +12,8 @@ from lexiframe.operators import lookup, runs, terms
 
 SF = "/root/testdata/sf0.001"
 PYTHON = re.compile(r"BatchEvalPython|ArrowEvalPython|MapInPandas|PythonMapIn")
-# Queries whose point is a function of the caller.
-WITH_PYTHON = {"segmented_words"}
+# Segmenters: a function of the caller, and the word lattice.
+WITH_PYTHON = {"segmented_words", "segmented_phrases"}
 
 
 def plan(df):
@@ -23,7 +23,7 @@ def plan(df):
 @pytest.mark.parametrize("name", list(all_queries()))
 def test_no_python_and_no_cross_join(spark, name):
     p = plan(all_queries()[name](spark, SF))
-    # MLlib's models predict in JVM functions; only a function of the caller runs in Python
+    # MLlib's models predict in JVM functions; only segmenters run in Python
     assert bool(PYTHON.search(p)) == (name in WITH_PYTHON)
     assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
 
