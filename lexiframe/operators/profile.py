@@ -1,17 +1,21 @@
-"""Table profile and box-plot outliers with exact quantiles."""
+"""Table profile and box-plot outliers with exact quantiles.
 
-import math
+The table is read once. Its columns become ``(column, v, n)``, equal values counted before
+they are moved, and are stored in ranges of (column, value). Everything else comes from that
+table: a prefix sum over the totals of the ranges tells which range holds a wanted rank, and
+only these ranges are summed up value by value. So neither a frequent value, nor a long
+column, nor many columns end up in one task.
+"""
+
+from collections.abc import Sequence
 from functools import reduce
+from operator import or_
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.scratch import materialise
 
-VALUES_PER_WINDOW = 1_000_000
-MAX_WINDOWS = 10_000
-
 
 def number(column: str) -> Column:
     """The column as double; NaN is a missing value."""
@@ -19,105 +23,77 @@ def number(column: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def _value_counts(df: DataFrame, column: str) -> DataFrame:
-    return (
-        df.select(number(column).alias("v")).where(F.col("v").isNotNull())
-        .groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
-def _bounds(values: DataFrame, per_window: int) -> list[float]:
-    """Approximate cut points that leave about ``per_window`` distinct values between."""
-    distinct = values.agg(F.count(F.lit(1))).first()[0]
-    windows = min(MAX_WINDOWS, -(-distinct // per_window))
-    if windows <= 1:
-        return []
-    cuts = [i / windows for i in range(1, windows)]
-    found = values.agg(F.percentile_approx("v", cuts, 10 * windows)).first()[0]
-    return sorted({c for c in found if math.isfinite(c)})
-
+def value_ranges(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """``(column, v, n, part)``: how often each value occurs; stored, one range of (column, value) a part.
 
-def cumulative_counts(counts: DataFrame, per_window: int = VALUES_PER_WINDOW) -> DataFrame:
-    """Add ``upto`` to stored ``(v, n)`` counts: how many rows are not above a value.
-
-    Equal values are counted before they are moved, and the running sum goes over
-    ranges of distinct values, so neither a frequent value nor a long column ends
-    up in one task. Only the cut points and the range totals are global.
+    ``column`` is the place in ``columns``; missing values are left out. ``ranges`` is the
+    number of parts at most, by default that of the session's shuffles.
     """
-    bounds = _bounds(counts, per_window)
-    upto = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if not bounds:  # at most per_window values
-        return counts.withColumn("upto", F.sum("n").over(upto))
-    cut = Bucketizer(
-        splits=[-float("inf"), *bounds, float("inf")],
-        inputCol="v",
-        outputCol="range",
-        handleInvalid="keep",
-    )
-    counts = cut.transform(counts)
-    totals = counts.groupBy("range").agg(F.sum("n").alias("range_n"))
-    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        "range", F.coalesce(F.sum("range_n").over(earlier), F.lit(0)).alias("start")
+    values = df.select(F.posexplode(F.array(*map(number, columns))).alias("column", "v")).where(F.col("v").isNotNull())
+    counts = values.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    by = ("column", "v")
+    placed = counts.repartitionByRange(ranges, *by) if ranges else counts.repartitionByRange(*by)
+    return materialise(placed.withColumn("part", F.spark_partition_id()), "value-ranges")
+
+
+def _one_each(df: DataFrame, columns: int) -> DataFrame:
+    """A row for each column, also for those without values."""
+    ids = df.sparkSession.range(columns).select(F.col("id").cast("int").alias("column"))
+    return ids.join(F.broadcast(df), "column", "left")
+
+
+def column_quantiles(values: DataFrame, columns: int, probabilities: Sequence[float]) -> DataFrame:
+    """``(column, q0..qN)`` of stored value ranges: exact, interpolated between neighbouring ranks."""
+    def running(*by):
+        return Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    positions = [F.lit(p) * (F.col("total") - 1) for p in probabilities]
+    ranks = [rank for x in positions for rank in (F.floor(x), F.ceil(x))]
+    # a row for each part and column
+    parts = (
+        values.groupBy("column", "part").agg(F.sum("n").alias("inside"))
+        .withColumn("end", F.sum("inside").over(running("column", "part")))
+        .withColumn("total", F.sum("inside").over(Window.partitionBy("column")))
+        .withColumn("before", F.col("end") - F.col("inside"))
     )
-    inside = (
-        Window.partitionBy("range").orderBy("v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # at most two parts for each column and probability
+    wanted = parts.where(reduce(or_, [(F.col("before") <= r) & (F.col("end") > r) for r in ranks]))
+    placed = values.join(F.broadcast(wanted.select("column", "part", "before", "total")), ["column", "part"])
+    placed = placed.withColumn("upto", F.col("before") + F.sum("n").over(running("column", "part", "v")))
+    holds = [(F.col("upto") > r) & (F.col("upto") - F.col("n") <= r) for r in ranks]
+    at = placed.groupBy("column").agg(
+        *[F.max(F.when(h, F.col("v"))).alias(f"at{i}") for i, h in enumerate(holds)],
+        *[F.max(x - F.floor(x)).alias(f"part{i}") for i, x in enumerate(positions)],
     )
-    return (
-        counts.withColumn("upto", F.sum("n").over(inside))
-        .join(F.broadcast(starts), "range")  # at most MAX_WINDOWS + 1 rows
-        .select("v", "n", (F.col("upto") + F.col("start")).alias("upto"))
-    )
-
-
-def quantiles(
-    df: DataFrame, column: str, probabilities: list[float], per_window: int = VALUES_PER_WINDOW
-) -> DataFrame:
-    """One row ``q0..qN``: exact quantiles, interpolated between neighbouring ranks."""
-    counts = materialise(_value_counts(df, column), "value-counts")
-    total = counts.agg(F.sum("n")).scalar()
-    placed = cumulative_counts(counts, per_window).withColumn("total", total)
-    found = []
-    for i, p in enumerate(probabilities):
-        position = F.lit(p) * (F.col("total") - 1)
-        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            holds = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
-            found.append(F.max(F.when(holds, F.col("v"))).alias(f"{side}{i}"))
-        found.append(F.max(position - F.floor(position)).alias(f"part{i}"))
-    return placed.agg(*found).select(
+    return _one_each(at, columns).select(
+        "column",
         *[
-            (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"part{i}")).alias(f"q{i}")
+            (F.col(f"at{2 * i}") + (F.col(f"at{2 * i + 1}") - F.col(f"at{2 * i}")) * F.col(f"part{i}")).alias(f"q{i}")
             for i in range(len(probabilities))
-        ]
+        ],
     )
 
 
-def describe(df: DataFrame, columns: list[str]) -> DataFrame:
+def quantiles(df: DataFrame, column: str, probabilities: Sequence[float], ranges: int | None = None) -> DataFrame:
+    """One row ``q0..qN`` of a column; nulls if it has no values."""
+    return column_quantiles(value_ranges(df, [column], ranges), 1, probabilities).drop("column")
+
+
+def describe(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> DataFrame:
     """``(column, count, mean, std, min, q1, median, q3, max)``, one row per column."""
-    figures = ["count", "mean", "std", "min", "max"]
-    functions = [F.count, F.avg, F.stddev_samp, F.min, F.max]
-    wide = df.agg(
-        *[
-            F.struct(
-                F.lit(name).alias("column"),
-                *[f(number(name)).alias(out) for f, out in zip(functions, figures)],
-            ).alias(name)
-            for name in columns
-        ]
+    values = value_ranges(df, columns, ranges)
+    v, n = F.col("v"), F.col("n")
+    basics = values.groupBy("column").agg(
+        F.sum(n).alias("count"), (F.sum(v * n) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")
     )
-    basics = wide.select(F.inline(F.array(*columns)))
-    quartiles = reduce(
-        DataFrame.unionByName,
-        [
-            quantiles(df, name, [0.25, 0.5, 0.75])
-            .toDF("q1", "median", "q3")
-            .withColumn("column", F.lit(name))
-            for name in columns
-        ],
+    squares = values.join(F.broadcast(basics.select("column", "mean")), "column").groupBy("column").agg(
+        F.when(F.sum(n) > 1, F.sqrt(F.sum(n * (v - F.col("mean")) ** 2) / (F.sum(n) - 1))).alias("std")
     )
-    return basics.join(quartiles, "column").select(
-        "column", "count", "mean", "std", "min", "q1", "median", "q3", "max"
+    quartiles = column_quantiles(values, len(columns), [0.25, 0.5, 0.75]).toDF("column", "q1", "median", "q3")
+    return quartiles.join(F.broadcast(basics), "column", "left").join(F.broadcast(squares), "column", "left").select(
+        F.element_at(F.array(*map(F.lit, columns)), F.col("column") + 1).alias("column"),
+        F.coalesce("count", F.lit(0).cast("long")).alias("count"),
+        "mean", "std", "min", "q1", "median", "q3", "max",
     )
 
 

@@ -1,13 +1,14 @@
 """Numbering runs of equal labels in an ordered table."""
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.scratch import materialise
 
-# Rows whose keys differ only in the low bits are scanned by one window.
-GROUP_BITS = 16
-# A summary up to this size is scanned by one window.
-MAX_STRETCHES = 1_000_000
+#: Neighbouring rows that one window scans, about.
+ROWS_PER_GROUP = 1 << 20
+#: Groups at most; beyond that they grow.
+MAX_GROUPS = 10_000
 
 
 def _scan(items: DataFrame, window, change: Column) -> DataFrame:
@@ -17,15 +18,30 @@ def _scan(items: DataFrame, window, change: Column) -> DataFrame:
     )
 
 
+def _grouped(items: DataFrame) -> DataFrame:
+    """Add ``_group``: ranges of keys with about as many rows each, however the keys are spread.
+
+    The cut points are approximate quantiles, from a sketch of bounded size. Keys are cut as
+    doubles, which keeps their order; equal doubles share a group.
+    """
+    keys = items.select(F.col("_key").cast("double").alias("_key"))
+    groups = max(2, min(MAX_GROUPS, -(-items.count() // ROWS_PER_GROUP)))
+    cuts = [i / groups for i in range(1, groups)]
+    found = keys.agg(F.percentile_approx("_key", cuts, 10 * groups)).first()[0] or [0.0]
+    splits = [-float("inf"), *sorted(set(found)), float("inf")]
+    cut = Bucketizer(splits=splits, inputCol="_at", outputCol="_group")
+    return cut.transform(items.withColumn("_at", F.col("_key").cast("double"))).drop("_at")
+
+
 def _with_offsets(items: DataFrame) -> DataFrame:
     """Add ``_off``: the label changes seen when an item begins.
 
     ``items`` holds ``_key, _first, _last, _n``: a stretch of rows with its first
     and last label and the number of changes inside. Groups of neighbours are
-    scanned on their own. Their summary, one stretch per group, is stored and
-    handled the same way until it is small.
+    scanned on their own. Their summary, one stretch per group, is stored and scanned
+    as a whole; what it carries into a group is added to the group's rows.
     """
-    items = items.withColumn("_group", F.shiftright("_key", GROUP_BITS))
+    items = _grouped(items)
     window = Window.partitionBy("_group").orderBy("_key")
     follows = F.row_number().over(window) > 1
     scanned = _scan(items, window, follows & ~F.lag("_last").over(window).eqNullSafe(F.col("_first")))
@@ -37,15 +53,13 @@ def _with_offsets(items: DataFrame) -> DataFrame:
         ),
         "stretches",
     )
-    if stretches.count() > MAX_STRETCHES:
-        placed = _with_offsets(stretches)
-    else:
-        window = Window.orderBy("_key")
-        previous = F.lag("_last", 1, "").over(window)
-        placed = _scan(stretches, window, ~previous.eqNullSafe(F.col("_first")))
+    # at most MAX_GROUPS rows
+    window = Window.orderBy("_key")
+    previous = F.lag("_last", 1, "").over(window)
+    placed = _scan(stretches, window, ~previous.eqNullSafe(F.col("_first")))
     starts = placed.select(F.col("_key").alias("_group"), F.col("_off").alias("_start"))
     return (
-        scanned.join(starts, "_group")
+        scanned.join(F.broadcast(starts), "_group")
         .withColumn("_off", F.col("_off") + F.col("_start"))
         .drop("_group", "_start")
     )

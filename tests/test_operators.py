@@ -187,13 +187,13 @@ def test_run_number(spark, data):
     assert dict(values(runs.label_dictionary(out), "label", "label_id")) == expected
 
 
-@pytest.mark.parametrize("bits, most", [(3, 20), (16, 1000)])
-def test_run_number_over_many_levels(spark, monkeypatch, bits, most):
+@pytest.mark.parametrize("size, most", [(9, 10_000), (9, 5), (1 << 20, 10_000)])
+def test_run_number_over_many_groups(spark, monkeypatch, size, most):
     import random
 
-    monkeypatch.setattr(runs, "GROUP_BITS", bits)
-    monkeypatch.setattr(runs, "MAX_STRETCHES", most)
-    rnd = random.Random(bits)
+    monkeypatch.setattr(runs, "ROWS_PER_GROUP", size)
+    monkeypatch.setattr(runs, "MAX_GROUPS", most)
+    rnd = random.Random(size)
     keys = sorted(rnd.sample(range(-500, 3000), 400)) + [2**40, 2**62]
     data = [rnd.choice(["a", "b", None, ""]) for _ in keys]
     df = spark.createDataFrame(list(zip(keys, data)), "pos long, label string").repartition(5)
@@ -262,8 +262,8 @@ def test_weighted_f1_equals_the_evaluator(spark):
     assert acc["total"] == 1000 and acc["accuracy"] == acc["correct"] / 1000
 
 
-@pytest.mark.parametrize("per_window", [7, 1_000_000])
-def test_quantiles_are_exact(spark, per_window):
+@pytest.mark.parametrize("ranges", [1, 7, 300, None])
+def test_quantiles_are_exact(spark, ranges):
     import random
 
     import numpy as np
@@ -272,7 +272,7 @@ def test_quantiles_are_exact(spark, per_window):
     data = [rnd.gauss(0, 1) for _ in range(700)] + [0.25] * 400 + [rnd.randint(-9, 9) for _ in range(100)]
     df = spark.createDataFrame([(float(v),) for v in data] + [(None,)], "x double").repartition(5)
     ps = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    found = profile.quantiles(df, "x", ps, per_window).first()
+    found = profile.quantiles(df, "x", ps, ranges).first()
     assert np.allclose(list(found), np.quantile(data, ps), atol=1e-12)
 
 
@@ -335,3 +335,95 @@ def test_part_files_are_ordered_by_number(spark, tmp_path):
     for n in (2, 10, 99999, 100000):
         (tmp_path / f"part-{n:05d}-x.txt").write_text(f"{n}\n")
     assert [r["value"] for r in number_lines(spark, str(tmp_path)).orderBy("pos").collect()] == ["2", "10", "99999", "100000"]
+
+
+@pytest.mark.parametrize("ranges", [1, 5, None])
+def test_profile_of_many_columns_at_once(spark, ranges):
+    """Ranges hold several columns or parts of one; a column without values keeps its row."""
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(11)
+    data = [
+        (rnd.gauss(1e6, 1.0), rnd.choice([0.0, -0.0, 7.0]), None, float("nan") if i % 2 else 3.0, i if i == 4 else None)
+        for i in range(400)
+    ]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double, e int").repartition(3)
+    found = {r["column"]: r for r in profile.describe(df, df.columns, ranges).collect()}
+    for i, name in enumerate("ab"):
+        x = np.array([r[i] for r in data])
+        row = found[name]
+        assert row["count"] == 400
+        assert np.allclose([row["mean"], row["std"], row["min"], row["max"]], [x.mean(), x.std(ddof=1), x.min(), x.max()], rtol=1e-9)
+        assert np.allclose([row["q1"], row["median"], row["q3"]], np.quantile(x, [0.25, 0.5, 0.75]), rtol=1e-12)
+    assert found["c"]["count"] == 0 and found["c"]["mean"] is None and found["c"]["median"] is None
+    assert (found["d"]["count"], found["d"]["std"], found["d"]["q3"]) == (200, 0.0, 3.0)
+    assert (found["e"]["count"], found["e"]["std"], found["e"]["median"]) == (1, None, 4.0)
+    assert profile.describe(df.limit(0), ["a"]).first()["count"] == 0
+
+
+def test_run_number_on_sparse_keys(spark, monkeypatch):
+    """Keys spread over 64 bits, partly closer together than doubles can tell."""
+    import random
+
+    monkeypatch.setattr(runs, "ROWS_PER_GROUP", 100)
+    stored = []
+    real = runs.materialise
+    monkeypatch.setattr(runs, "materialise", lambda df, name: stored.append(real(df, name)) or stored[-1])
+    rnd = random.Random(3)
+    keys = sorted({rnd.randrange(-(2**63), 2**63) for _ in range(1500)} | {2**62 + i for i in range(500)})
+    data = [rnd.choice(["a", "b", None]) for _ in keys]
+    df = spark.createDataFrame(list(zip(keys, data)), "pos long, label string").repartition(7)
+    out = [r["run_id"] for r in runs.run_number(df, "label", "pos").orderBy("pos").collect()]
+    assert out == python_runs(data)
+    assert len(stored) == 1 and stored[0].count() <= 21
+    assert runs.run_number(df.limit(0), "label", "pos").count() == 0
+
+
+def test_number_lines_stores_totals_only(spark, tmp_path, monkeypatch):
+    (tmp_path / "x.txt").write_text("".join(f"{i}\n" for i in range(3000)))
+    stored = []
+    real = lines.materialise
+    monkeypatch.setattr(lines, "materialise", lambda df, name: stored.append(real(df, name)) or stored[-1])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        found = lines.number_lines(spark, str(tmp_path))
+        assert [r["value"] for r in found.orderBy("pos").collect()] == [str(i) for i in range(3000)]
+        assert len(stored) == 1 and set(stored[0].columns) == {"block", "first_row", "before"} and stored[0].count() < 30
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        with pytest.raises(Exception, match="cuts changed"):
+            found.select(F.sum("pos")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_lookup_join_moves_possible_partners_only(spark, monkeypatch):
+    """Rows without a partner and rows of frequent keys stay; too many bytes of frequent keys take fewer of them."""
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("k"))
+    table = spark.range(0, 20_000, 8).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x")).union(
+        spark.createDataFrame([(1, 5), (1, 6), (None, 7)], "k long, x long")
+    )
+    expected = sorted(map(repr, df.join(table, "k", "left").select("k", "id", "x").collect()))
+    for near in (1 << 20, 0):
+        monkeypatch.setattr(lookup, "NEAR_BYTES", near)
+        out = lookup.lookup_join(df, table, "k", max_bytes=0, n=10)
+        assert sorted(map(repr, out.select("k", "id", "x").collect())) == expected
+    monkeypatch.setattr(lookup, "NEAR_BYTES", 1 << 20)
+    seen = []
+    real = lookup.key_filter
+    monkeypatch.setattr(lookup, "key_filter", lambda hashes: seen.append(real(hashes)) or seen[-1])
+    lookup.lookup_join(df, table, "k", max_bytes=0, n=10)
+    words, bits = seen[0]
+    hashes = df.where("id % 2 = 1").select(F.xxhash64("k").alias("_hash"))
+    at = F.pmod("_hash", F.lit(bits))
+    kept = hashes.withColumn("_word", F.shiftright(at, 6)).join(words, "_word").where(
+        F.expr(f"shiftright(_bits, cast(pmod(_hash, {bits}) & 63 as int)) & 1 = 1")
+    )
+    assert kept.count() < 2000  # of 10,000 rows, one of which has a partner
+    with pytest.raises(ValueError):
+        lookup.lookup_join(df, table.withColumn("k", F.col("k").cast("string")), "k", max_bytes=0)
+    ints = df.withColumn("k", F.col("k").cast("int"))
+    both = lookup.lookup_join(ints, table, "k", "inner", max_bytes=0, n=3)
+    assert both.count() == df.join(table, "k").count()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from lexiframe.catalog import all_queries, text
 from lexiframe.catalog.registry import table
-from lexiframe.operators import lookup, runs, terms
+from lexiframe.operators import lookup, profile, runs, terms
 
 SF = "/root/testdata/sf0.001"
 PYTHON = re.compile(r"BatchEvalPython|ArrowEvalPython|MapInPandas|PythonMapIn")
@@ -70,3 +70,34 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_counts_are_combined_before_the_shuffle(spark):
     p = plan(entry.queries()["word_count"](spark, SF))
     assert p.count("HashAggregate") == 2 and p.count("Exchange hashpartitioning") == 1
+
+
+def test_a_profile_reads_its_table_once(spark, monkeypatch):
+    plans, real = [], profile.materialise
+
+    def recorded(df, name):
+        plans.append(plan(df))
+        return real(df, name)
+
+    monkeypatch.setattr(profile, "materialise", recorded)
+    plans.append(plan(profile.describe(table(spark, SF, "lineitem"), ["l_quantity", "l_tax", "l_discount"])))
+    scans = [line for p in plans for line in p.splitlines() if "FileScan" in line]
+    assert sum("lineitem" in line for line in scans) == 1
+    assert plans[0].count("Exchange") == 2  # equal values are added up, then placed by range
+    assert "Exchange SinglePartition" not in plans[1]
+
+
+def test_lookups_beyond_the_broadcast_limit_filter_before_they_move(spark):
+    rows = table(spark, SF, "lineitem").select("l_orderkey", "l_partkey")
+    parts = table(spark, SF, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name").where("l_partkey % 3 = 0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(lookup.lookup_join(rows, parts, "l_partkey", max_bytes=0, n=10))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # of the rows, only those that the filter lets through are below the one exchange of theirs
+    assert p.count("Exchange hashpartitioning(l_partkey") == 2
+    below = p[p.index("Exchange hashpartitioning(l_partkey"):]
+    below = below[: below.index("Exchange hashpartitioning(l_partkey", 10)]
+    assert "Filter" in below and "_bits" in below and "l_orderkey" in below
+    assert "Aggregate" not in p  # frequent keys come from a sketch, not from a count of all keys
