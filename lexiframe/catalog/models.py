@@ -10,9 +10,10 @@ from ..plans import classifiers, scoring, training
 from ..plans.documents import scoring_set, scoring_set_with_ids, training_set, training_set_with_ids
 from ..plans.training import TrainingPlan
 from ..sources import number_lines, read_results, shared_path, write_lines
+from ..sources.scratch import materialise
 from .registry import Registry, table
 from .rows import BUCKET_SQL, NINE_TENTHS
-from .text import TOKENS_SQL, corpus_words, document_words, scoring_inputs
+from .text import SLOTS_SQL, TOKENS_SQL, corpus_words, document_words, scoring_inputs
 
 registry = Registry()
 query = registry.add
@@ -124,23 +125,68 @@ def check_scores(scored, classes):
     return (F.abs(total - 1) < 1e-6) & (F.size(p) == classes) & (top == F.array_max(p))
 
 
-# A forest has no SQL twin: keys and labels are compared, and that its output is a choice among classes.
-VALID_SQL = """
-    SELECT doc_id AS pos, lang AS label, true AS valid FROM documents
+# A forest has no SQL twin: keys and labels are compared, that its output is a choice among classes,
+# and that on rows it hasn't seen it closes at least half of the gap between the majority's F1 and 1.
+FLOOR_SQL = f"""
+    WITH parts AS (SELECT doc_id, lang, {BUCKET_SQL.format(key='doc_id')} < {NINE_TENTHS} AS train FROM documents),
+    major AS (SELECT lang FROM parts WHERE train GROUP BY lang ORDER BY count(*) DESC, lang LIMIT 1),
+    floors AS (SELECT count(*) AS n, count(*) FILTER (lang = (SELECT lang FROM major)) AS m FROM parts WHERE {{where}})
+    SELECT {{columns}}, round({{share}} + (1 - {{share}}) * (m / n * 2.0 * m / (m + n)), 6) AS floor_f1, true AS above
+    FROM parts, floors
 """
+VALID_SQL = FLOOR_SQL.format(where="NOT train", share=0.5, columns="doc_id AS pos, lang AS label, true AS valid")
+
+
+def class_names(docs):
+    """Labels of part 0, frequent ones first, as both kinds of label numbers have them."""
+    counts = docs.where("part = 0").groupBy("label").count()
+    return [r["label"] for r in counts.orderBy(F.desc("count"), "label").collect()]
+
+
+def floor_f1(truth, share):
+    """So far from the weighted F1 of class 0 for every row towards 1, from a column ``truth``."""
+    n, m = F.count(F.lit(1)), F.count_if(F.col("truth") == 0)
+    return truth.agg((share + (1 - share) * (m / n * 2.0 * m / (m + n))).alias("f1")).scalar()
 
 
 def _checked(spark, d, plan):
     docs, model = _train(spark, d, plan)
-    classes = docs.where("part = 0").select(F.count_distinct("label")).first()[0]
+    names = class_names(docs)
     # an index keeps a class for labels it hasn't seen
-    valid = check_scores(model.transform(docs), classes + (plan.label == "index"))
-    return model.transform(docs).select("pos", "label", valid.alias("valid"))
+    scored = model.transform(docs)
+    valid = check_scores(scored, len(names) + (plan.label == "index"))
+    truth = F.array_position(F.array(*map(F.lit, names)), F.col("label")) - 1
+    rows = materialise(
+        scored.select("pos", "label", "part", truth.alias("truth"), "prediction", valid.alias("valid")), "checked"
+    )
+    held = rows.where("part = 1")
+    floor = floor_f1(held, 0.5)
+    above = metrics.weighted_f1(held, "truth", "prediction").scalar() >= floor
+    return rows.select("pos", "label", "valid", F.round(floor, 6).alias("floor_f1"), above.alias("above"))
 
 
-@query("train_bayes_tfidf_run_label", VALID_SQL)
+@query(
+    "train_bayes_tfidf_run_label",
+    f"""
+    {MODEL_SQL}, {SLOTS_SQL},
+    counts AS (SELECT doc_id, lang, slot, sum(tf) AS tf FROM tf JOIN slots USING (word) GROUP BY ALL),
+    dfs AS (SELECT slot, count(*) AS df FROM counts SEMI JOIN train USING (doc_id) GROUP BY slot),
+    x AS (SELECT doc_id, lang, slot, tf * ln(((SELECT count(*) FROM train) + 1) / (coalesce(df, 0) + 1)) AS x
+          FROM counts LEFT JOIN dfs USING (slot)),
+    sums AS (SELECT lang, slot, sum(x) AS n FROM x SEMI JOIN train USING (doc_id) GROUP BY ALL),
+    whole AS (SELECT lang, sum(n) + 21000 AS total FROM sums GROUP BY lang),
+    gains AS (SELECT doc_id, c.lang, sum(x * ln((coalesce(n, 0) + 1) / w.total)) AS gain
+              FROM x CROSS JOIN classes c JOIN whole w ON w.lang = c.lang
+              LEFT JOIN sums s ON s.lang = c.lang AND s.slot = x.slot GROUP BY ALL),
+    best AS (SELECT d.doc_id, d.lang, c.label_id,
+                    row_number() OVER (PARTITION BY d.doc_id ORDER BY round(c.prior + coalesce(gain, 0), 6) DESC, c.label_id) AS r
+             FROM documents d CROSS JOIN classes c LEFT JOIN gains g ON g.doc_id = d.doc_id AND g.lang = c.lang)
+    SELECT doc_id AS pos, lang AS label, label_id::DOUBLE AS prediction FROM best WHERE r = 1
+    """,
+)
 def train_bayes_tfidf_run_label(spark, d):
-    return _checked(spark, d, TrainingPlan("nb", "tfidf", "run"))
+    docs, model = _train(spark, d, TrainingPlan("nb", "tfidf", "run"))
+    return scoring.score(model, docs).select("pos", "label", "prediction")
 
 
 @query("train_forest_counts_label_index", VALID_SQL)
@@ -238,24 +284,58 @@ def scoring_job(spark, d):
 
 
 @query(
-    "forest_scoring_job",
-    """
-    SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos, lang AS label, true AS known, true AS f1_agrees
-    FROM documents
+    "probability_lines",
+    f"""
+    {KEYWORD_BAYES_SQL},
+    scores AS (SELECT d.doc_id, c.label_id, c.prior + coalesce(gain, 0) AS score
+               FROM documents d CROSS JOIN classes c LEFT JOIN gains g ON g.doc_id = d.doc_id AND g.lang = c.lang),
+    odds AS (SELECT *, exp(score - max(score) OVER (PARTITION BY doc_id)) AS odds FROM scores),
+    shares AS (SELECT *, odds / sum(odds) OVER (PARTITION BY doc_id) AS p FROM odds)
+    SELECT dense_rank() OVER (ORDER BY doc_id) - 1 AS pos, label_id::INTEGER AS class,
+           round(score, 4) AS score, round(p, 6) AS probability FROM shares
     """,
 )
+def probability_lines(spark, d):
+    """The lines of the probability file, in order, read back as numbers."""
+    path, _, _ = live_job(spark, d, TrainingPlan("nb", "counts", "index"))
+    lines = number_lines(spark, f"{path}/probabilities")
+
+    def numbers(i):
+        part = F.get(F.split("value", "\t\t"), i)
+        return F.split(F.substring(part, 2, F.length(part) - 2), ",").cast("array<double>")
+
+    both = F.arrays_zip(numbers(0).alias("score"), numbers(1).alias("probability"))
+    return lines.select("pos", F.posexplode(both).alias("class", "x")).select(
+        "pos", "class", F.round("x.score", 4).alias("score"), F.round("x.probability", 6).alias("probability")
+    )
+
+
+@query(
+    "forest_scoring_job",
+    FLOOR_SQL.format(
+        where="true",
+        share=0,
+        columns="row_number() OVER (ORDER BY doc_id) - 1 AS pos, lang AS label, true AS known, true AS f1_agrees",
+    ),
+)
 def forest_scoring_job(spark, d):
-    """The same job with the forest: labels decoded from its file, F1 recomputed from it."""
+    """The same job with the forest: labels decoded from its file, F1 recomputed from it and above the majority's.
+
+    It scores keywords without stop-words, on which it wasn't trained.
+    """
     path, f1, model = live_job(spark, d, TrainingPlan("rf", "counts", "index"))
     names = scoring.stage_of(model, StringIndexerModel).labels
     found = read_results(spark, f"{path}/predictions")
     relational = metrics.weighted_f1(found, "truth", "prediction").scalar()
     decoded = F.get(F.array(*map(F.lit, names)), F.col("truth"))
+    floor = floor_f1(found, 0)
     return found.select(
         "pos",
         decoded.alias("label"),
         F.col("prediction").between(0, len(names) - 1).alias("known"),
         (F.abs(relational - f1) < 1e-6).alias("f1_agrees"),
+        F.round(floor, 6).alias("floor_f1"),
+        (relational > floor).alias("above"),
     )
 
 
@@ -351,14 +431,18 @@ def _same(docs, first, second):
 SAME_SQL = "SELECT doc_id, true AS same FROM documents"
 
 
-@query("text_classifier", SAME_SQL)
+@query("text_classifier", SAME_SQL.replace("AS same", "AS same, true AS fitted"))
 def text_classifier(spark, d):
     """Does the fitted chain predict the same after it was saved and loaded?"""
     docs, labelled = _quality(spark, d)
     fitted = classifiers.text_classifier().fit(labelled)
     path = shared_path(spark, "text-classifier")
     fitted.write().overwrite().save(path)
-    return _same(docs, fitted, PipelineModel.load(path))
+    same = _same(docs, fitted, PipelineModel.load(path))
+    # at the optimum the mean probability is the share of ones, whatever the features
+    best = classifiers.text_classifier(features=50, max_iter=500).fit(labelled).transform(labelled)
+    fits, _, _ = _fitted(best, "probability")
+    return same.withColumn("fitted", fits)
 
 
 @query("unfitted_stages", SAME_SQL)

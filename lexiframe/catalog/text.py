@@ -4,7 +4,7 @@ from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..functions.vectors import sparse_entries, vector_sum
+from ..functions.vectors import sparse_entries
 from ..operators import profile, segmentation, terms, tokens
 from ..plans.documents import lines_of, scoring_set, scoring_set_with_ids, training_set_with_ids
 from ..plans.stages import HASH_SIZE, count_stage, hashed_tfidf_stages
@@ -70,6 +70,31 @@ WEIGHTS_SQL = """
 """
 
 
+# Constants of MurmurHash3 (32 bits) and its seed in MLlib.
+LOW = 4294967295
+FOUR_BYTES = " + ".join(f"coalesce(b[i * 4 + {j + 1}], 0) * {256**j}" for j in range(4))
+#: CTE ``slots`` (word, slot): the place of each word of ``tokens`` among 21,000 hashed ones.
+SLOTS_SQL = f"""
+    spelled AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM tokens)),
+    spelling AS (SELECT word, len(h) // 2 AS n,
+                        list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::UBIGINT) AS b
+                 FROM spelled),
+    quads AS (SELECT word, n, list_transform(range(n // 4 + 1), lambda i: {FOUR_BYTES}) AS k FROM spelling),
+    first AS (SELECT word, n, list_transform(k, lambda x: (x * 3432918353) & {LOW}) AS k FROM quads),
+    turned AS (SELECT word, n, list_transform(k, lambda x: ((x << 15) | (x >> 17)) & {LOW}) AS k FROM first),
+    mixed AS (SELECT word, n, list_transform(k, lambda x: (x * 461845907) & {LOW}) AS k FROM turned),
+    rounds AS (SELECT *, list_reduce(k[:n // 4], lambda h, x:
+                        ((((xor(h, x) << 13) | (xor(h, x) >> 19)) & {LOW}) * 5 + 3864292196) & {LOW}, 42::UBIGINT) AS h
+              FROM mixed),
+    ended AS (SELECT word, xor(xor(h, k[n // 4 + 1]), n::UBIGINT) AS h FROM rounds),
+    once AS (SELECT word, (xor(h, h >> 16) * 2246822507) & {LOW} AS h FROM ended),
+    twice AS (SELECT word, (xor(h, h >> 13) * 3266489909) & {LOW} AS h FROM once),
+    hashed AS (SELECT word, xor(h, h >> 16)::BIGINT AS h FROM twice),
+    slots AS (SELECT word, (((CASE WHEN h > 2147483647 THEN h - 4294967296 ELSE h END) % 21000 + 21000) % 21000)::INTEGER AS slot
+              FROM hashed)
+"""
+
+
 @query(
     "text_lines",
     """
@@ -347,42 +372,40 @@ def vocabulary_counts(spark, d):
 @query(
     "hashed_term_counts",
     f"""
-    WITH {TOKENS_SQL}
-    SELECT doc_id, coalesce(total, 0)::DOUBLE AS total
-    FROM documents LEFT JOIN (SELECT doc_id, count(*) AS total FROM tokens GROUP BY doc_id)
-         USING (doc_id)
+    WITH {TOKENS_SQL}, {SLOTS_SQL}
+    SELECT doc_id, slot, sum(tf)::DOUBLE AS n FROM tf JOIN slots USING (word) GROUP BY ALL
     """,
 )
 def hashed_term_counts(spark, d):
     words = corpus_words(spark, d)
     tf = HashingTF(inputCol="words", outputCol="features", numFeatures=HASH_SIZE)
-    return tf.transform(words).select("doc_id", vector_sum("features").alias("total"))
+    entries = tf.transform(words).select("doc_id", F.explode(sparse_entries("features")).alias("e"))
+    return entries.select("doc_id", "e.slot", F.col("e.value").alias("n"))
 
 
 @query(
     "hashed_tfidf",
-    """
-    SELECT doc_id, len(string_split_regex(regexp_replace(lower(text), '\\s+$', ''), '\\s'))::DOUBLE AS total,
-           true AS same
-    FROM documents
+    f"""
+    WITH tokens AS (SELECT doc_id, unnest(string_split_regex(regexp_replace(lower(text), '\\s+$', ''), '\\s')) AS word
+                    FROM documents),
+    {SLOTS_SQL},
+    counts AS (SELECT doc_id, slot, count(*) AS tf FROM tokens JOIN slots USING (word) GROUP BY ALL),
+    dfs AS (SELECT slot, count(*) AS df FROM counts GROUP BY slot)
+    SELECT doc_id, slot, tf::DOUBLE AS tf,
+           round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS weight
+    FROM counts JOIN dfs USING (slot)
     """,
 )
 def hashed_tfidf(spark, d):
-    """Raw counts per document, and is each weight tf * ln((N + 1) / (df + 1)) of its slot?"""
+    """Count and weight of every slot that a document uses."""
     rows = tokens.tokenize(documents(spark, d), "text", "whitespace_lower")
     tf, idf = hashed_tfidf_stages()
     featured = tf.transform(rows)
     weighted = idf.fit(featured).transform(featured)
     sides = F.arrays_zip(sparse_entries("rawFeatures").alias("tf"), sparse_entries("features").alias("w"))
-    entries = weighted.select("doc_id", F.explode(sides).alias("e")).select(
-        "doc_id", "e.tf.slot", F.col("e.tf.value").alias("tf"), F.col("e.w.value").alias("weight")
-    )
-    entries = materialise(entries, "hashed")
-    frequency = entries.groupBy("slot").agg(F.count(F.lit(1)).alias("df"))
-    n = documents(spark, d).agg(F.count(F.lit(1))).scalar()
-    expected = F.col("tf") * F.ln((n + 1) / (F.col("df") + 1))
-    return entries.join(frequency, "slot").groupBy("doc_id").agg(
-        F.sum("tf").alias("total"), F.bool_and(F.abs(expected - F.col("weight")) < 1e-9).alias("same")
+    entries = weighted.select("doc_id", F.explode(sides).alias("e"))
+    return entries.select(
+        "doc_id", "e.tf.slot", F.col("e.tf.value").alias("tf"), F.round("e.w.value", 6).alias("weight")
     )
 
 
