@@ -12,19 +12,24 @@ c. A merge whose arc is already gone changes nothing. The result is deterministi
 paths from the start spell exactly the sequences that the merges produce, so a word has
 one path. The arcs are kept as one bit per label and state.
 
-Encoding follows the arcs whose labels spell the word, looking labels and transitions up in
-tables. Decoding emits the labels of the arcs.
+Encoding is one pass over a word's characters, from left to right. A spelling table leads from
+each character on to all labels spelled there; a label is an arc to the boundary behind it, and
+the automaton tells if its state allows it. The start of a word has exactly one path, so a
+boundary is entered at most once and no step is ever taken back. All new words of a batch take
+their steps together, as table look-ups. Decoding emits the labels of the arcs.
 
 Words come from the tokenizer file's own normalizer and pre-splitter, run on each distinct
 run of characters between ASCII white space: no rule of these files looks beyond that.
 """
 
 import json
+import random
 import re
-import struct
+from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain, compress, islice
+from itertools import chain, compress, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +37,12 @@ from pyspark.sql import DataFrame, types as T
 
 from .words import chunks, utf8
 
-#: Distinct runs of characters, and ends of words, whose ids a task remembers.
+#: Distinct runs of characters, and words, whose ids a task remembers.
 REMEMBERED = 100_000
-#: Longest word that is encoded by recursion.
+#: Longest word that takes its steps together with others.
 SHORT = 64
+#: Characters whose arcs are looked up together.
+BLOCK = 1 << 17
 CHUNK = 1 << 20
 #: White space and controls other than the space that joins runs.
 ODD = re.compile(r"[^\S ]|[\x00-\x1f\x7f-\x9f]")
@@ -80,90 +87,174 @@ def compile_arcs(base: list[bool], merges: list[tuple[int, int]]) -> tuple[np.nd
     return arcs, state
 
 
+def spelling_table(labels: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(codes, step, source, ends)``: the labels' spellings as one table of transitions.
+
+    ``codes`` gives a character's code by code point, its last entry stands for all characters
+    in no label, and 0 for no character. From place x, code c leads to y = ``step[x]`` + c if
+    ``source[y]`` is x, else nowhere. The last place is where all spellings begin; ``ends`` has
+    the place where each label ends. Rows of transitions lie over each other, fullest first.
+    """
+    code = {x: i for i, x in enumerate(sorted(set().union(*labels)), 1)}
+    rows: list[dict[int, int]] = [{}]
+    ends = []
+    for label in labels:
+        at = 0
+        for x in label:
+            at = rows[at].setdefault(code[x], len(rows))
+            if at == len(rows):
+                rows.append({})
+        ends.append(at)
+    width = len(code) + 2
+    size = 4 * len(rows) + width
+    taken, shift, place = bytearray(size), [0] * len(rows), np.full(len(rows), size, np.int32)
+    drawn = random.Random(0)
+    for x in sorted(range(len(rows)), key=lambda x: -len(rows[x])):
+        if rows[x]:
+            at = drawn.randrange(size - width)
+            while any(taken[at + c] for c in rows[x]):
+                at = drawn.randrange(size - width)
+            shift[x] = at
+            for c, to in rows[x].items():
+                taken[at + c] = 1
+                place[to] = at + c
+    step, source = np.zeros(size + 1, np.int32), np.full(size + 1, -1, np.int32)
+    step[place] = shift
+    for x, row in enumerate(rows):
+        source[place[list(row.values())]] = place[x]
+    codes = np.full(max(map(ord, code), default=0) + 2, len(code) + 1, np.int32)
+    codes[list(map(ord, code))] = list(code.values())
+    return codes, step, source, place[ends]
+
+
 @dataclass(frozen=True)
 class Automaton:
-    """What a task needs: the splitter's definition, ids and the arcs."""
+    """What a task needs: the splitter's definition, ids, the arcs and the spelling table."""
 
     splitter: str
     specials: dict[str, int]
     labels: dict[int, str]
-    inner: dict[str, int]
-    final: dict[str, int]
-    ids: list[int]
-    state: list[int]
-    #: Rows of the arc table that differ, joined, and where each label's row begins.
-    arcs: bytes
-    row: list[int]
-    #: Longest inner label that begins with these two characters.
-    reach: dict[str, int]
-
-    def rest(self, p: int, rest: str, memory: dict) -> tuple[int, ...] | None:
-        """The ids of the path from state ``p`` that spells the rest of a word, if there is one.
-
-        Words end alike more often than they are alike, so ``memory`` is kept by state and rest.
-        """
-        key = (p, rest)
-        if key in memory:
-            return memory[key]
-        arcs, row, at, bit = self.arcs, self.row, p >> 3, p & 7
-        found = None
-        label = self.final.get(rest)
-        if label is not None and arcs[row[label] + at] >> bit & 1:
-            found = (self.ids[label],)
-        else:
-            inner = self.inner
-            for end in range(min(len(rest) - 1, self.reach.get(rest[:2], 1)), 0, -1):
-                label = inner.get(rest[:end])
-                if label is not None and arcs[row[label] + at] >> bit & 1:
-                    after = self.rest(self.state[label], rest[end:], memory)
-                    if after is not None:
-                        found = (self.ids[label], *after)
-                        break
-        memory[key] = found
-        return found
+    #: By label: id, state behind it, characters, where its row of arcs begins.
+    ids: np.ndarray
+    state: np.ndarray
+    length: np.ndarray
+    row: np.ndarray
+    #: Rows of the arc table that differ, joined.
+    arcs: np.ndarray
+    codes: np.ndarray
+    step: np.ndarray
+    source: np.ndarray
+    #: By place: the label spelled there inside a word and at its end, or -1.
+    inner: np.ndarray
+    final: np.ndarray
+
+    def coded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``(code, ends)``: the words' characters, each word followed by a 0 at its end."""
+        text = "\0".join(words) + "\0"
+        code = self.codes[np.minimum(np.frombuffer(text.encode("utf-32-le"), "<u4"), len(self.codes) - 1)]
+        ends = np.cumsum(np.fromiter(map(len, words), np.int32, len(words)) + np.int32(1), dtype=np.int32) - 1
+        code[ends] = 0
+        return code, ends
+
+    def spelled(self, code: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(start, label)`` of all labels that the characters from ``start`` on spell."""
+        place = np.full(len(start), len(self.step) - 1, np.int32)
+        starts, labels, k = [], [], 0
+        while len(start):
+            to = self.step[place] + code[start + k]
+            k += 1
+            on = self.source[to] == place
+            start, place = start[on], to[on]
+            label = np.where(code[start + k] == 0, self.final[place], self.inner[place])
+            on = label >= 0
+            starts.append(start[on])
+            labels.append(label[on])
+        return np.concatenate(starts), np.concatenate(labels)
+
+    def walk(self, code: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, int]:
+        """``(came, steps)``: the label of the arc that enters each boundary, or -1, and how many
+        arcs were taken: one for each boundary entered."""
+        begins = np.append(np.int32(0), ends[:-1] + 1)
+        sizes = ends - begins
+        start, label = self.spelled(code, np.flatnonzero(code).astype(np.int32))
+        rank = (start - np.repeat(begins, sizes + 1)[start]).astype(np.uint8)
+        order = np.argsort(rank, kind="stable")
+        start, label = start[order], label[order]
+        end = start + self.length[label]
+        row, after = self.row[label], self.state[label]
+        state, came, steps = np.full(len(code), -1, np.int32), np.full(len(code), -1, np.int32), 0
+        state[begins] = 0
+        for x, y in pairwise(np.searchsorted(rank[order], np.arange(sizes.max(initial=0) + 1)).tolist()):
+            at = state[start[x:y]]
+            on = (at >= 0) & (self.arcs[row[x:y] + (at >> 3)] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            to = end[x:y][on]
+            state[to] = after[x:y][on]
+            came[to] = label[x:y][on]
+            steps += len(to)
+        return came, steps
+
+    def encode(self, words: list[str]) -> Iterator[bytes]:
+        """The ids, as bytes, of each of some pre-split words that aren't empty."""
+        at = 0
+        while at < len(words):
+            if len(words[at]) > SHORT:
+                yield self.ids[list(self.long_path(words[at]))].tobytes()
+                at += 1
+                continue
+            upto, size = at, 0
+            while upto < len(words) and len(words[upto]) <= SHORT and size < BLOCK:
+                size += len(words[upto]) + 1
+                upto += 1
+            code, ends = self.coded(words[at:upto])
+            came, _ = self.walk(code, ends)
+            if (came[ends] < 0).any():
+                word = words[at + int(np.argmax(came[ends] < 0))]
+                raise ValueError(f"no path for {word!r}: a base symbol is missing")
+            # back along the arcs, to mark the boundaries on the paths
+            on, now = np.zeros(len(code), bool), ends
+            begin = np.zeros(len(code), bool)
+            begin[0], begin[ends[:-1] + 1] = True, True
+            while len(now):
+                on[now] = True
+                now = now - self.length[came[now]]
+                now = now[~begin[now]]
+            ids = self.ids[came[on]].tobytes()
+            for x, y in pairwise([0, *(4 * np.cumsum(on)[ends]).tolist()]):
+                yield ids[x:y]
+            at = upto
+
+    def long_path(self, word: str) -> list[int]:
+        """The labels of one word of any length: the same pass, boundary by boundary."""
+        code, _ = self.coded([word])
+        n = len(word)
+        state, came, arcs = array("i", [-1]) * (n + 1), array("i", [-1]) * (n + 1), memoryview(self.arcs)
+        state[0] = 0
+        for x in range(0, n, BLOCK):
+            start, label = self.spelled(code, np.arange(x, min(n, x + BLOCK), dtype=np.int64))
+            order = np.argsort(start, kind="stable")
+            start, label = start[order], label[order]
+            columns = start, start + self.length[label], label, self.row[label], self.state[label]
+            for at, to, arc, row, after in zip(*(c.tolist() for c in columns), strict=True):
+                p = state[at]
+                if p >= 0 and arcs[row + (p >> 3)] >> (p & 7) & 1:
+                    state[to], came[to] = after, arc
+        path, at = [], n
+        while at:
+            if came[at] < 0:
+                raise ValueError(f"no path for a word of {n} characters: a base symbol is missing")
+            path.append(came[at])
+            at -= int(self.length[came[at]])
+        return path[::-1]
 
     def word(self, word: str, memory: dict) -> tuple[int, ...]:
-        """The ids of one pre-split word."""
-        found = self.rest(0, word, memory) if len(word) <= SHORT else self.long_word(word)
-        if found is None:
-            raise ValueError(f"no path for {word!r}: a base symbol is missing")
-        return found
+        """The ids of one pre-split word, kept in ``memory``."""
+        if word not in memory:
+            memory[word] = tuple(np.frombuffer(next(self.encode([word])), "<u4").tolist())
+        return memory[word]
 
-    def long_word(self, word: str) -> tuple[int, ...] | None:
-        """The same without recursion and memory, for words of any length.
-
-        Arcs are tried longest label first. The path to a place is unique, so a place from
-        which no arc leads on is never entered again.
-        """
-        arcs, row, state, inner, n = self.arcs, self.row, self.state, self.inner, len(word)
-        path, places, dead = [], [0], set()
-        end = n
-        while True:
-            start = places[-1]
-            p = state[path[-1]] if path else 0
-            at, bit = p >> 3, p & 7
-            found = None
-            if end == n:
-                label = self.final.get(word[start:])
-                if label is not None and arcs[row[label] + at] >> bit & 1:
-                    return (*(self.ids[x] for x in path), self.ids[label])
-                end = min(n - 1, start + self.reach.get(word[start : start + 2], 1))
-            while end > start:
-                label = inner.get(word[start:end])
-                if label is not None and arcs[row[label] + at] >> bit & 1 and end not in dead:
-                    found = label
-                    break
-                end -= 1
-            if found is not None:
-                path.append(found)
-                places.append(end)
-                end = n
-            elif path:
-                dead.add(start)
-                path.pop()
-                end = places.pop() - 1
-            else:
-                return None
+    def long_word(self, word: str) -> tuple[int, ...]:
+        """The same, boundary by boundary and without memory."""
+        return tuple(self.ids[self.long_path(word)].tolist())
 
 
 @lru_cache(maxsize=2)
@@ -176,6 +267,8 @@ def automaton(tokenizer: str) -> Automaton:
         raise ValueError("a BPE model with an end-of-word suffix is needed")
     if any(x["normalized"] or x["single_word"] or x["lstrip"] or x["rstrip"] for x in added):
         raise ValueError("added tokens are looked for in the plain text only")
+    if any(re.search(r"[\t-\r ]", x["content"]) for x in added):
+        raise ValueError("added tokens with white space inside are not looked for")
     vocab = model["vocab"]
     pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
     made = {a + b for a, b in pairs}
@@ -190,34 +283,33 @@ def automaton(tokenizer: str) -> Automaton:
         number[a + b] = len(names)
         names.append(a + b)
     arcs, state = compile_arcs(base, merges)
-    inner = {x: i for x, i in number.items() if not x.endswith(suffix)}
-    final = {x.removesuffix(suffix): i for x, i in number.items() if x.endswith(suffix)}
+    spellings = [x.removesuffix(suffix) for x in names]
+    codes, step, source, ends = spelling_table(spellings)
+    marked = np.array([x.endswith(suffix) for x in names])
+    inner, final = np.full(len(step), -1, np.int32), np.full(len(step), -1, np.int32)
+    inner[ends[~marked]], final[ends[marked]] = np.flatnonzero(~marked), np.flatnonzero(marked)
     places: dict[bytes, int] = {}
     row = [places.setdefault(x.tobytes(), len(places) * arcs.shape[1]) for x in arcs]
-    reach: dict[str, int] = {}
-    for x in inner:
-        reach[x[:2]] = max(len(x), reach.get(x[:2], 0))
     splitter = given | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": []}
     return Automaton(
         splitter=json.dumps(splitter),
         specials={x["content"]: x["id"] for x in added},
         labels={i: x for x, i in vocab.items()} | {x["id"]: x["content"] for x in added},
+        ids=np.array([vocab[x] for x in names], "<u4"),
+        state=state.astype(np.int32),
+        length=np.array([len(x) for x in spellings], np.int32),
+        row=np.array(row, np.int64),
+        arcs=np.frombuffer(b"".join(places), np.uint8),
+        codes=codes,
+        step=step,
+        source=source,
         inner=inner,
         final=final,
-        ids=[vocab[x] for x in names],
-        state=state.tolist(),
-        arcs=b"".join(places),
-        row=row,
-        reach=reach,
     )
 
 
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
-
-
 class Encoder(dict):
-    """Ids, as bytes, of runs of characters without ASCII white space."""
+    """Ids, as bytes, of runs of characters without ASCII white space, once they are learnt."""
 
     def __init__(self, table: Automaton):
         from tokenizers import Tokenizer
@@ -228,59 +320,60 @@ class Encoder(dict):
         self.table = table
         names = sorted(table.specials, key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, names))) if names else None
-        self.words: dict[tuple[int, str], tuple[int, ...] | None] = {}
-
-    def split(self, words) -> list[int]:
-        found = []
-        for word, _ in words:
-            found += self.table.word(word, self.words)
+        self.words: dict[str, bytes] = {}
+
+    def normal(self, text: str) -> str:
+        return self.normalizer.normalize_str(text) if self.normalizer else text
+
+    def alone(self, text: str) -> list[str | bytes]:
+        """The words of one run, and the ids of added tokens as bytes."""
+        found, at = [], 0
+        for match in self.special.finditer(text) if self.special else ():
+            found += [x for x, _ in self.splitter.pre_tokenize_str(self.normal(text[at : match.start()]))]
+            found.append(np.array([self.table.specials[match.group()]], "<u4").tobytes())
+            at = match.end()
+        return found + [x for x, _ in self.splitter.pre_tokenize_str(self.normal(text[at:]))]
+
+    def together(self, runs: list[bytes]) -> list[list[str]] | None:
+        """The words of runs without any other white space, in one call of the splitter; None if
+        the rules make or drop white space."""
+        text = self.normal(b" ".join(runs).decode())
+        parts = text.split(" ")
+        if len(parts) != len(runs):
+            return None
+        words, n, end, found = self.splitter.pre_tokenize_str(text), 0, 0, []
+        for part in parts:
+            end += len(part)
+            at = n
+            while n < len(words) and words[n][1][1] <= end:
+                n += 1
+            found.append([x for x, _ in words[at:n]])
+            end += 1
         return found
 
-    def plain(self, text: str) -> list[int]:
-        if self.normalizer:
-            text = self.normalizer.normalize_str(text)
-        return self.split(self.splitter.pre_tokenize_str(text))
-
     def learn(self, runs: set[bytes]) -> None:
-        """Encode new runs without any white space together, which saves calls of the splitter."""
+        """Encode the runs that are new; all their new words take their steps together."""
         for memory in (self, self.words):
             if len(memory) > REMEMBERED:
                 # what came first is mostly what comes often
                 for x in list(islice(memory, REMEMBERED // 2, None)):
                     del memory[x]
-        runs = [x for x in runs if x not in self]
+        runs, odd = [x for x in runs if x not in self], []
         text = b" ".join(runs).decode()
         if ODD.search(text) or self.special and self.special.search(text):
-            # such runs go alone
             plain = [not (ODD.search(x) or self.special and self.special.search(x)) for x in text.split(" ")]
+            odd = list(compress(runs, [not x for x in plain]))
             runs = list(compress(runs, plain))
-            text = b" ".join(runs).decode()
-        if self.normalizer:
-            text = self.normalizer.normalize_str(text)
-        parts = text.split(" ")
-        if len(parts) != len(runs):
-            return  # the rules make or drop white space: each run goes alone
-        words, n, at, end = self.splitter.pre_tokenize_str(text), 0, 0, 0
-        for run, part in zip(runs, parts, strict=True):
-            end += len(part)
-            at = n
-            while n < len(words) and words[n][1][1] <= end:
-                n += 1
-            self[run] = _packed(self.split(words[at:n]))
-            end += 1
-
-    def __missing__(self, run: bytes) -> bytes:
-        text, ids, at = run.decode(), [], 0
-        if self.special:
-            for match in self.special.finditer(text):
-                if match.start() > at:
-                    ids += self.plain(text[at : match.start()])
-                ids.append(self.table.specials[match.group()])
-                at = match.end()
-        if at < len(text):
-            ids += self.plain(text[at:])
-        packed = self[run] = _packed(ids)
-        return packed
+        found = self.together(runs) if runs else []
+        if found is None:
+            found, odd, runs = [], odd + runs, []
+        runs += odd
+        found += [self.alone(x.decode()) for x in odd]
+        memory = self.words
+        new = [x for x in set(chain.from_iterable(found)) if type(x) is str and x not in memory]
+        memory.update(zip(new, self.table.encode(new), strict=True))
+        for run, words in zip(runs, found, strict=True):
+            self[run] = b"".join([memory[x] if type(x) is str else x for x in words])
 
 
 def read_tokenizer(path: str) -> str:
