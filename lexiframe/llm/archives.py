@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.lookup import lookup_join
+from ..operators.lookup import MAX_BROADCAST_BYTES, lookup_join
 from ..sources.scratch import materialise, shared_path
 
 # Fixed values of the formats.
@@ -160,7 +160,7 @@ def write_archives(
         .select("sum", "first", F.lit(True).alias("shared"))
     )
     summed = plain.withColumn("sum", F.concat_ws(":", F.sha1("payload"), F.octet_length("payload").cast("string")))
-    joined = lookup_join(summed, materialise(repeated, "payloads"), "sum")
+    joined = lookup_join(summed, materialise(repeated, "payloads"), "sum", max_bytes=MAX_BROADCAST_BYTES)
     written = joined.select("page_id", "url", "payload", "first", "shared").mapInArrow(
         _written(folder), "path string, records bigint, bytes bigint"
     )

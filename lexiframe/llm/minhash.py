@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.lookup import fits_broadcast, lookup_join
+from ..operators.lookup import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join
 from ..sources.scratch import materialise
 from .components import Forest, components
 from .words import chunks, hashes, mixed, owners, runs, shingle_hashes, utf8, word_numbers
@@ -233,7 +233,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ne
     placed = materialise(members.join(sizes, "cluster"), "placed")
     own = F.pmod(F.xxhash64("key"), F.col("blocks"))
     tiles = (
-        lookup_join(plain.where("key is not null"), placed, "key", "inner")
+        lookup_join(plain.where("key is not null"), placed, "key", "inner", max_bytes=MAX_BROADCAST_BYTES)
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(F.xxhash64("cluster", F.least("own", "other"), F.greatest("own", "other")).alias("tile"), "key", "text")

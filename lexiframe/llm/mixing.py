@@ -14,7 +14,7 @@ source's strata and another over the rows of a stratum, never over a source.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..operators.lookup import lookup_join
+from ..operators.lookup import MAX_BROADCAST_BYTES, lookup_join
 from ..sources.scratch import materialise
 from .decisions import attach, row_hash
 
@@ -110,7 +110,7 @@ def systematic_copies(rows: DataFrame, seed: str = SEED, tries: int = TRIES) ->
         for k, x in enumerate(offsets)
     ]
     best = materialise(tried.select("_name", F.array_min(F.array(*misses))["offset"].alias("offset")), "offsets")
-    return lookup_join(summed, best, "_name").select(*rows.columns, _crossed(F.col("upto"), F.col("offset")).alias("copies"))
+    return lookup_join(summed, best, "_name", max_bytes=MAX_BROADCAST_BYTES).select(*rows.columns, _crossed(F.col("upto"), F.col("offset")).alias("copies"))
 
 
 def mix(
@@ -133,7 +133,7 @@ def mix(
     by_source = materialise(
         targets(sizes, weights, most).withColumn("_name", F.to_json(F.struct("source"))).drop("source"), "targets"
     )
-    named = lookup_join(sizes.withColumn("_name", F.to_json(F.struct("source"))), by_source, "_name").drop("_name")
+    named = lookup_join(sizes.withColumn("_name", F.to_json(F.struct("source"))), by_source, "_name", max_bytes=MAX_BROADCAST_BYTES).drop("_name")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     return systematic_copies(named.withColumn("expected", expected), seed)
 

@@ -52,6 +52,28 @@ def test_keywords_beyond_the_broadcast_limit(spark, monkeypatch):
     assert sorted(map(repr, out.select(small.columns).collect())) == sorted(map(repr, small.collect()))
 
 
+def test_term_counts_hold_one_document_at_a_time(spark):
+    """No hash table over the documents of a task, whose size would grow with its share of the table."""
+    p = plan(terms.term_counts(text.corpus_words(spark, SF), "doc_id"))
+    assert "Aggregate" not in p and "Exchange" not in p
+    df = spark.createDataFrame([(1, ["b", "a", "b"]), (2, []), (3, None), (4, ["a", None, "a"])], "id int, words array<string>")
+    rows = sorted((r.id, r.word or "", r.tf, r.first_pos) for r in terms.term_counts(df, "id").collect())
+    assert rows == [(1, "a", 1, 1), (1, "b", 2, 0), (2, "", 0, None), (3, "", 0, None), (4, "", 0, 1), (4, "a", 2, 0)]
+
+
+def test_a_large_idf_reads_the_documents_once(spark, monkeypatch):
+    """Counts are stored before rows of frequent and of rare words part; no sketch if the idf has document counts."""
+    words = text.corpus_words(spark, SF)
+    idf = text.corpus_idf(words)
+    small = terms.ranked_keywords(words, idf, "doc_id")
+    monkeypatch.setattr(terms, "MAX_LOOKUP_BYTES", 0)
+    monkeypatch.setattr(lookup.lookup_join, "__defaults__", ("left", None, 0, 50))
+    monkeypatch.setattr(lookup, "frequent_hashes", None)
+    out = terms.ranked_keywords(words, idf, "doc_id")
+    assert "documents.parquet" not in plan(out)
+    assert sorted(map(repr, out.select(small.columns).collect())) == sorted(map(repr, small.collect()))
+
+
 def test_row_windows_are_partitioned(spark):
     orders = table(spark, SF, "orders").select("o_orderkey", F.col("o_orderpriority").alias("label"))
     p = plan(runs.run_number(orders, "label", "o_orderkey"))
