@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -17,6 +17,9 @@ SCRIPT_RUNS = r"[\p{IsHan}]+|[^\s\p{IsHan}]+"
 
 HAN_PAIR = r"(?=(\p{IsHan}{2}))"
 
+#: Texts whose words a segmenter's task holds as Python objects.
+SEGMENTED_ROWS = 64
+
 
 def token_array(text: str, mode: str = "space", pattern: str = SCRIPT_RUNS) -> Column:
     """Tokens of a text column.
@@ -65,11 +68,17 @@ def tokenize(
 def segment(
     df: DataFrame, text: str, segmenter: Callable[[str], list[str]], words: str = "words"
 ) -> DataFrame:
-    """Tokenise with a function of the caller; only the text column goes through Python."""
+    """Tokenise with a function of the caller; only the text column goes through Python.
+
+    Words of a few texts at a time are Python objects, whatever the size of a batch.
+    """
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else list(segmenter(t)))
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def run(texts: pa.Array) -> pa.Array:
+        parts = (texts.slice(i, SEGMENTED_ROWS).to_pylist() for i in range(0, len(texts), SEGMENTED_ROWS))
+        kind = pa.list_(pa.string())
+        lists = [pa.array([None if t is None else list(segmenter(t)) for t in part], kind) for part in parts]
+        return pa.concat_arrays(lists) if lists else pa.array([], kind)
 
     return df.withColumn(words, run(text))
 

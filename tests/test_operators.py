@@ -427,3 +427,22 @@ def test_lookup_join_moves_possible_partners_only(spark, monkeypatch):
     ints = df.withColumn("k", F.col("k").cast("int"))
     both = lookup.lookup_join(ints, table, "k", "inner", max_bytes=0, n=3)
     assert both.count() == df.join(table, "k").count()
+
+
+def test_a_segmenter_holds_the_words_of_few_texts(spark):
+    class Word(str):
+        live = 0
+
+        def __new__(cls, text):
+            cls.live += 1
+            if cls.live > 3 * (tokens.SEGMENTED_ROWS + 1):
+                raise MemoryError(f"{cls.live} words are held")
+            return super().__new__(cls, text)
+
+        def __del__(self):
+            type(self).live -= 1
+
+    df = spark.range(2000).coalesce(1).select("id", F.concat_ws(" ", "id", F.lit("b"), F.lit("c")).alias("text"))
+    df = df.withColumn("text", F.when(F.col("id") != 7, F.col("text")))
+    out = tokens.segment(df, "text", lambda t: [Word(x) for x in t.split()]).orderBy("id").collect()
+    assert [r.words for r in out] == [None if i == 7 else [str(i), "b", "c"] for i in range(2000)]
