@@ -22,6 +22,7 @@ Words come from the tokenizer file's own normalizer and pre-splitter, run on eac
 run of characters between ASCII white space: no rule of these files looks beyond that.
 """
 
+import gc
 import json
 import random
 import re
@@ -353,6 +354,16 @@ class Encoder(dict):
 
     def learn(self, runs: set[bytes]) -> None:
         """Encode the runs that are new; all their new words take their steps together."""
+        # many lists, none in a cycle: the collector would walk all that is remembered again and again
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            self._learn(runs)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _learn(self, runs: set[bytes]) -> None:
         for memory in (self, self.words):
             if len(memory) > REMEMBERED:
                 # what came first is mostly what comes often

@@ -1,5 +1,6 @@
 """The operators against plain versions, and their edge cases."""
 
+import gc
 import hashlib
 import io
 import math
@@ -530,3 +531,18 @@ def test_scores_do_not_depend_on_shards(spark, monkeypatch):
     # the dictionary is not cut at a fixed number of words
     counts = scoring.count_words(docs)
     assert len(scoring.lexicon(counts, 200, 8000 // 40, 1)[0].symbol) == min(200, counts.count())
+
+
+def test_learning_runs_without_the_cycle_collector():
+    table, _, base = small_automaton([("a", "b"), ("c", "d"), ("e", "f")])
+    letters = [x for x in base if len(x) == 1]
+    encoder, rnd, seen = bpe.Encoder(table), random.Random(5), []
+    runs = {"".join(rnd.choice(letters) for _ in range(8)).encode() for _ in range(20_000)}
+    gc.collect()
+    gc.callbacks.append(lambda phase, info: seen.append(phase))
+    try:
+        encoder.learn(runs)
+        assert gc.isenabled()
+    finally:
+        gc.callbacks.pop()
+    assert not seen and all(x in encoder for x in runs)
