@@ -279,5 +279,7 @@ def word_bins(
 ) -> DataFrame:
     """``(id, *keep, bins)``: counts up to ``most`` of the words of ``(word, feature)``."""
     counts = lookup_join(term_counts(df, id_col, words, keep), vocabulary.select("word", "feature"), "word")
+    # other words are left out before rows meet; each document keeps the row of its first word, or without words its only one
+    counts = counts.where(F.col("feature").isNotNull() | (F.coalesce("first_pos", F.lit(0)) == 0))
     entry = F.when(F.col("feature").isNotNull(), F.struct("feature", F.least("tf", F.lit(most)).cast("int")))
     return counts.groupBy(id_col, *keep).agg(F.map_from_entries(F.collect_list(entry)).alias("bins"))

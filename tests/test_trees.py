@@ -152,3 +152,13 @@ def test_agrees_with_mllib_on_a_rule(spark):
     vectors = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(df)
     theirs = DecisionTreeClassifier(maxDepth=4).fit(vectors).transform(vectors)
     assert ours.where("label <> prediction").count() == theirs.where("label <> prediction").count() == 0
+
+
+def test_word_bins_leave_out_other_words_before_they_group(spark):
+    docs = [(1, ["x", "a", "y", "a"]), (2, ["x", "y"]), (3, []), (4, None), (5, ["a"] * 5 + ["b"])]
+    df = spark.createDataFrame(docs, "id int, words array<string>")
+    vocabulary = spark.createDataFrame([("a", 0), ("b", 1)], "word string, feature int")
+    out = trees.word_bins(df, vocabulary, "id")
+    assert {r.id: r.bins for r in out.collect()} == {1: {0: 2}, 2: {}, 3: {}, 4: {}, 5: {0: 3, 1: 1}}
+    p = out._jdf.queryExecution().optimizedPlan().toString()
+    assert p.index("Aggregate") < p.index("isnotnull(feature") and "first_pos" in p[: p.index("Join")]
