@@ -22,10 +22,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.scratch import materialise
 from .lookup import lookup_join
-from .terms import MIN_DOCUMENTS, VOCABULARY_SIZE, term_counts
+from .terms import MIN_DOCUMENTS, VOCABULARY_SIZE, term_counts, vocabulary
 
 #: Scores are compared to so many places; equal ones go to the first label.
 PLACES = 6
+#: Sums (for each class, in tuning for each class and smoothing) that a document's row holds as columns; with
+#: more, each pair of a document and a class is a row.
+FEW_SUMS = 16
 
 
 @dataclass(frozen=True)
@@ -79,20 +82,16 @@ def class_priors(df: DataFrame, label: str = "label", smoothing: float = 1.0) ->
 
 
 def class_words(df: DataFrame, label: str, words: str, size: int, min_df: int, extra: tuple = ()) -> DataFrame:
-    """``(word, *extra, label, n)`` for the ``size`` most frequent words, counted in one pass; stored."""
-    lists = F.array(F.col(words), F.array_distinct(words))
-    counts = materialise(
-        df.select(F.col(label).alias("label"), *extra, F.posexplode(lists).alias("kind", "list"))
-        .select("label", *extra, "kind", F.explode("list").alias("word"))
-        .groupBy("word", *extra, "label")
-        .agg(F.count_if(F.col("kind") == 0).alias("n"), F.count_if(F.col("kind") == 1).alias("df")),
-        "class-word-counts",
-    )
-    chosen = (
-        counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
-        .where(F.col("df") >= min_df).orderBy(F.desc("n"), "word").limit(size).select("word")
-    )
-    return materialise(lookup_join(counts, materialise(chosen, "class-vocabulary"), "word", "inner").drop("df"), "class-words")
+    """``(word, *extra, label, n)`` for the ``size`` most frequent words; stored.
+
+    The vocabulary comes first, from one count for each word. Only its words are counted by class, so
+    rare words are neither moved nor stored for each class they occur in.
+    """
+    chosen = materialise(vocabulary(df, words, size, min_df).select("word", "n"), "class-vocabulary")
+    rows = df.select(F.col(label).alias("label"), *extra, F.explode(words).alias("word"))
+    frequent = chosen.orderBy(F.desc("n"), "word").select("word")
+    known = lookup_join(rows, chosen.select("word"), "word", "inner", frequent=frequent)
+    return materialise(known.groupBy("word", *extra, "label").agg(F.count(F.lit(1)).alias("n")), "class-words")
 
 
 def train_bayes(
@@ -138,6 +137,24 @@ def _highest(scores: Column) -> Column:
     return F.array_min(rounded)
 
 
+def _of_few(model: BayesTable, lines: list, counts: DataFrame, id_col: str, keep: tuple) -> DataFrame:
+    """``(id, *keep, _best)`` with the sums of all classes in the row of a document."""
+    gains = F.map_from_entries("classes")
+    entries = model.words.select(
+        "word", F.lit(1.0).alias("_known"),
+        *(F.coalesce(F.element_at(gains, F.lit(x["label"])), F.lit(0.0)).alias(f"_g{i}") for i, x in enumerate(lines)),
+    )
+    names = ["_known", *(f"_g{i}" for i in range(len(lines)))]
+    sums = lookup_join(counts, entries, "word").groupBy(id_col, *keep).agg(
+        *(F.coalesce(F.sum(F.col("tf") * F.col(name)), F.lit(0.0)).alias(name) for name in names)
+    )
+    scores = F.array(*(
+        F.struct(F.lit(x["label"]).alias("label"), (x["intercept"] + x["slope"] * F.col("_known") + F.col(f"_g{i}")).alias("score"))
+        for i, x in enumerate(lines)
+    ))
+    return sums.withColumn("_best", _highest(scores))
+
+
 def score_bayes(
     model: BayesTable, df: DataFrame, id_col: str, words: str = "words", keep: tuple = ()
 ) -> DataFrame:
@@ -147,6 +164,10 @@ def score_bayes(
     classes predicts null.
     """
     counts = term_counts(df, id_col, words, keep)
+    best = [F.col("_best.label").alias("prediction"), (-F.col("_best.minus")).alias("score")]
+    lines = model.classes.limit(FEW_SUMS + 1).collect()
+    if 0 < len(lines) <= FEW_SUMS:
+        return _of_few(model, lines, counts, id_col, keep).select(id_col, *keep, *best)
     rows = lookup_join(counts, model.words, "word")
     # a pair without a class counts the words of the vocabulary
     entries = F.concat(
@@ -166,10 +187,56 @@ def score_bayes(
         "_shared",
         lambda x: F.struct(x["_class"].alias("label"), (x["intercept"] + x["slope"] * F.col("_size") + x["sum"]).alias("score")),
     )
-    best = _highest(F.concat(scores, F.array(_other(model.others, F.col("_size")))))
-    return found.withColumn("_best", best).select(
-        id_col, *keep, F.col("_best.label").alias("prediction"), (-F.col("_best.minus")).alias("score")
+    highest = _highest(F.concat(scores, F.array(_other(model.others, F.col("_size")))))
+    return found.withColumn("_best", highest).select(id_col, *keep, *best)
+
+
+def _left_out(docs: DataFrame, entries: DataFrame, lines: list, classes: list, smoothings: tuple, folds: int, id_col: str) -> DataFrame:
+    """``(at, fold, label, prediction)`` of every document, its sums for all classes and smoothings in one row."""
+    grid = [(i, s, j, c) for i, s in enumerate(smoothings) for j, c in enumerate(classes)]
+    # the classes of a word by place: counts without each fold
+    lefts = entries.select(
+        "word", F.lit(1).alias("_known"),
+        *(F.element_at(F.map_from_entries("classes"), F.lit(c)).alias(f"_l{j}") for j, c in enumerate(classes)),
+    )
+    numbered = docs.where(F.col("fold") >= 0)
+    rows = lookup_join(term_counts(numbered, id_col, "words", ("fold", "label")), lefts, "word")
+    gain = lambda j, s: F.ln(F.get(f"_l{j}", F.col("fold")) + s) - F.lit(log(s))
+    sums = rows.groupBy(id_col, "fold", "label").agg(
+        F.coalesce(F.sum(F.col("tf") * F.col("_known")), F.lit(0)).alias("size"),
+        *(F.coalesce(F.sum(F.col("tf") * gain(j, s)), F.lit(0.0)).alias(f"g{i}_{j}") for i, s, j, _ in grid),
     )
+    line = {(f, at, c): (intercept, slope) for f, at, c, intercept, slope in lines}
+
+    def minus(i, j, c):
+        intercept, slope = (F.get(F.array(*(F.lit(line[f, i, c][k]) for f in range(folds))), F.col("fold")) for k in (0, 1))
+        return (-F.round(intercept + slope * F.col("size") + F.col(f"g{i}_{j}"), PLACES)).alias("minus")
+
+    best = F.array(*(
+        F.struct(
+            F.lit(i).alias("at"),
+            F.array_min(F.array(*(F.struct(minus(i, j, c), F.lit(c).alias("class")) for j, c in enumerate(classes))))["class"].alias("prediction"),
+        )
+        for i in range(len(smoothings))
+    ))
+    return sums.select("fold", "label", F.inline(best))
+
+
+def _left_out_of_many(docs: DataFrame, entries: DataFrame, lines: DataFrame, smoothings: tuple, id_col: str) -> DataFrame:
+    """The same with a row for each document, class and smoothing."""
+    rows = lookup_join(term_counts(docs, id_col, "words", ("fold", "label")), entries, "word")
+    known = F.sum(F.when(F.col("classes").isNotNull(), F.col("tf")).otherwise(0))
+    size_of = rows.groupBy(id_col, "fold", "label").agg(known.alias("size"))
+    gains = [
+        F.sum(F.col("tf") * (F.ln(F.get("left", F.col("fold")) + s) - F.lit(log(s)))).alias(f"g{i}") for i, s in enumerate(smoothings)
+    ]
+    shared = rows.select(id_col, "fold", "tf", F.inline("classes")).groupBy(id_col, "fold", "class").agg(*gains)
+    # every document in every class: the lines of its fold are at most classes times smoothings
+    every = size_of.join(F.broadcast(lines), "fold").join(shared, [id_col, "fold", "class"], "left")
+    gain = reduce(lambda acc, i: acc.when(F.col("at") == i, F.col(f"g{i}")), range(1, len(smoothings)), F.when(F.col("at") == 0, F.col("g0")))
+    score = F.round(F.col("intercept") + F.col("slope") * F.col("size") + F.coalesce(gain, F.lit(0.0)), PLACES)
+    best = F.min(F.struct((-score).alias("minus"), "class"))["class"].alias("prediction")
+    return every.groupBy(id_col, "fold", "label", "at").agg(best)
 
 
 def tune_bayes(
@@ -209,7 +276,6 @@ def tune_bayes(
             for c, (d, t) in left.items():
                 prior = log((d + s) / (total + len(classes) * s))
                 lines.append((f, i, c, prior, log(s) - log(t + s * max(v, 1))))
-    lines = docs.sparkSession.createDataFrame(lines, f"fold int, at int, class {dict(df.dtypes)[label]}, intercept double, slope double")
     parts = F.struct(F.sum("n").alias("n"), F.collect_list(F.struct("fold", "n")).alias("folds"))
     of_word = counts.groupBy("word", "label").agg(parts.alias("x"))
     without = F.transform(
@@ -220,19 +286,11 @@ def tune_bayes(
     entries = materialise(
         left.groupBy("word").agg(F.collect_list(F.struct(F.col("label").alias("class"), "left")).alias("classes")), "fold-words"
     )
-    rows = lookup_join(term_counts(docs, id_col, "words", ("fold", "label")), entries, "word")
-    known = F.sum(F.when(F.col("classes").isNotNull(), F.col("tf")).otherwise(0))
-    size_of = rows.groupBy(id_col, "fold", "label").agg(known.alias("size"))
-    gains = [
-        F.sum(F.col("tf") * (F.ln(F.get("left", F.col("fold")) + s) - F.lit(log(s)))).alias(f"g{i}") for i, s in enumerate(smoothings)
-    ]
-    shared = rows.select(id_col, "fold", "tf", F.inline("classes")).groupBy(id_col, "fold", "class").agg(*gains)
-    # every document in every class: the lines of its fold are at most classes times smoothings
-    every = size_of.join(F.broadcast(lines), "fold").join(shared, [id_col, "fold", "class"], "left")
-    gain = reduce(lambda acc, i: acc.when(F.col("at") == i, F.col(f"g{i}")), range(1, len(smoothings)), F.when(F.col("at") == 0, F.col("g0")))
-    score = F.round(F.col("intercept") + F.col("slope") * F.col("size") + F.coalesce(gain, F.lit(0.0)), PLACES)
-    best = F.min(F.struct((-score).alias("minus"), "class"))["class"].alias("prediction")
-    predicted = every.groupBy(id_col, "fold", "label", "at").agg(best)
+    if 0 < len(classes) * len(smoothings) <= FEW_SUMS:
+        predicted = _left_out(docs, entries, lines, classes, smoothings, folds, id_col)
+    else:
+        lines = docs.sparkSession.createDataFrame(lines, f"fold int, at int, class {dict(df.dtypes)[label]}, intercept double, slope double")
+        predicted = _left_out_of_many(docs, entries, lines, smoothings, id_col)
     sides = F.array(
         F.struct(F.col("label").alias("k"), F.lit(1).alias("size"), F.lit(0).alias("taken"), (F.col("label") == F.col("prediction")).cast("int").alias("hits")),
         F.struct(F.col("prediction").alias("k"), F.lit(0).alias("size"), F.lit(1).alias("taken"), F.lit(0).alias("hits")),

@@ -159,3 +159,31 @@ def test_newton_leaves_out_broken_rows_and_uses_the_threshold(spark):
 def test_words_of_docs_without_any(spark):
     df = spark.createDataFrame([(1, None)], "id long, words array<string>")
     assert terms.term_counts(df, "id").collect()[0].word is None
+
+
+def test_rare_words_are_not_counted_by_class(spark, monkeypatch):
+    """Words outside the vocabulary are neither moved nor stored for each class and fold."""
+    rows = [(i, f"c{i % 3}", ["a", "b", f"only{i}", f"once{i}"], i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, label string, words array<string>, fold int")
+    stored = []
+    keep = bayes.materialise
+    monkeypatch.setattr(bayes, "materialise", lambda table, name: stored.append((name, keep(table, name))) or stored[-1][1])
+    found = bayes.class_words(df, "label", "words", 10, 2, ("fold",))
+    assert sorted(r.word for r in found.select("word").distinct().collect()) == ["a", "b"]
+    assert sum(r.n for r in found.collect()) == 120
+    assert max(table.count() for _, table in stored) <= 2 * 3 * 2
+
+
+def test_few_classes_are_summed_in_the_row_of_their_document(spark, monkeypatch):
+    """The same scores as with a row for each pair of document and class, and the documents move once."""
+    rows = corpus(4, 4, 90) + [(90, "c0", []), (91, "c1", None), (92, "c1", ["unheard"])]
+    df = spark.createDataFrame([(*r, r[0] % 3) for r in rows], "id long, label string, words array<string>, fold int")
+    model = bayes.train_bayes(df, min_df=1)
+    few = bayes.score_bayes(model, df, "id", keep=("label",))
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "collect_list" not in plan
+    tuned = {(r.smoothing, r.fold): r.f1 for r in bayes.tune_bayes(df, "id", min_df=1).collect()}
+    monkeypatch.setattr(bayes, "FEW_SUMS", 0)
+    many = bayes.score_bayes(model, df, "id", keep=("label",))
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+    assert tuned == pytest.approx({(r.smoothing, r.fold): r.f1 for r in bayes.tune_bayes(df, "id", min_df=1).collect()})
