@@ -116,6 +116,19 @@ def test_forest_does_not_depend_on_the_session(spark):
     assert found[0].split("\n")[1:] == found[1].split("\n")[1:]
 
 
+def test_forest_partitions_follow_the_rows(spark, monkeypatch):
+    """A partition of a forest holds about as many rows whatever the size of the table."""
+    found = []
+    keep = training.ordered_input
+    monkeypatch.setattr(training, "ordered_input", lambda *args: found.append(keep(*args)) or found[-1])
+    monkeypatch.setattr(stages, "FOREST_ROWS", 10)
+    for n in (30, 120):
+        rows = spark.range(n).select(F.col("id").alias("pos"), F.lit("x").alias("label"), F.array(F.lit("w")).alias("words"))
+        both = rows.withColumn("label", F.when(F.col("pos") % 2 == 0, "x").otherwise("y"))
+        training.train(both, TrainingPlan("rf", "tfidf", size=50, trees=2, depth=2, partitions=4))
+    assert [x.rdd.getNumPartitions() for x in found] == [4, 12]
+
+
 def test_importances_need_counts(spark):
     rows = documents.training_set(models.training_lines(spark, models.labelled_words(spark, SF)))
     model = training.train(rows, TrainingPlan("nb", "tfidf"))
