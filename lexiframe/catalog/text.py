@@ -423,7 +423,8 @@ def tfidf_statistics(spark, d):
     """Statistics of every slot of the documents' TF-IDF vectors."""
     words = corpus_words(spark, d)
     counts = count_stage(words, out="rawFeatures")
-    featured = counts.transform(words)
+    # read by the fit and by the statistics: texts are tokenised and counted once more, not twice
+    featured = materialise(counts.transform(words).select("rawFeatures"), "count-vectors")
     _, idf = hashed_tfidf_stages()
     vectors = idf.fit(featured).transform(featured)
     stats = profile.vector_statistics(vectors)

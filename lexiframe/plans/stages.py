@@ -2,7 +2,7 @@
 
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..operators.terms import MIN_DOCUMENTS, VOCABULARY_SIZE, vocabulary
 
@@ -36,7 +36,7 @@ def count_stage(
 
     MLlib takes the vocabulary as a list, at most ``size`` words.
     """
-    found = vocabulary(df.where(F.size(words) > 0), words, size, min_df).collect()
+    found = vocabulary(df, words, size, min_df).collect()
     return CountVectorizerModel.from_vocabulary(
         [row["word"] for row in found], inputCol=words, outputCol=out
     )

@@ -52,6 +52,12 @@ def test_keywords_beyond_the_broadcast_limit(spark, monkeypatch):
     assert sorted(map(repr, out.select(small.columns).collect())) == sorted(map(repr, small.collect()))
 
 
+def test_tfidf_statistics_read_stored_counts(spark):
+    """The texts are counted once for the fit and the statistics."""
+    p = plan(entry.queries()["tfidf_statistics"](spark, SF))
+    assert "rawFeatures" in p and "text:string" not in p
+
+
 def test_term_counts_hold_one_document_at_a_time(spark):
     """No hash table over the documents of a task, whose size would grow with its share of the table."""
     p = plan(terms.term_counts(text.corpus_words(spark, SF), "doc_id"))
