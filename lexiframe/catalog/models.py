@@ -13,7 +13,7 @@ from ..sources import number_lines, read_results, shared_path, write_lines
 from ..sources.scratch import materialise
 from .registry import Registry, table
 from .rows import BUCKET_SQL, NINE_TENTHS
-from .text import SLOTS_SQL, TOKENS_SQL, corpus_words, document_words, scoring_inputs
+from .text import SLOTS_SQL, TOKENS_SQL, document_words, documents, scoring_inputs, words_of
 
 registry = Registry()
 query = registry.add
@@ -22,19 +22,21 @@ SEED = 234
 
 
 def labelled_words(spark, d):
-    """``(pos, label, words, part)``: every document; part 0 is for training."""
-    words = corpus_words(spark, d, "lang")
-    named = words.select(F.col("doc_id").alias("pos"), F.col("lang").alias("label"), "words")
-    return split.hash_split(named, "pos", [0.9, 0.1], SEED)
+    """``(pos, label, text, words, part)``: every document; part 0 is for training."""
+    named = documents(spark, d, "lang").withColumnsRenamed({"doc_id": "pos", "lang": "label"})
+    return split.hash_split(words_of(named), "pos", [0.9, 0.1], SEED)
 
 
 def training_lines(spark, docs):
-    """``word word ... label`` lines of part 0 in a file, a run per label, frequent labels first."""
-    chosen = docs.where("part = 0")
+    """``word word ... label`` lines of part 0 in a file, a run per label, frequent labels first.
+
+    Texts are put in order before they are cut into words, as a sort runs what is below it twice.
+    """
+    chosen = docs.where("part = 0").drop("words")
     model = labels.fit_label_index(chosen, "label", "_index")
     line = F.array_join(F.concat("words", F.array("label")), " ")
     path = shared_path(spark, "training-lines")
-    write_lines(model.transform(chosen).orderBy("_index", "pos"), line, path)
+    write_lines(words_of(model.transform(chosen).orderBy("_index", "pos")), line, path)
     return number_lines(spark, path)
 
 

@@ -23,16 +23,17 @@ def documents(spark, d, *keep):
 
 def one_line(docs):
     """Documents as single lines."""
-    return docs.withColumn("text", F.translate("text", "\n", " "))
+    return docs.withColumn("text", F.replace("text", F.lit("\n"), F.lit(" ")))
 
 
-def _words(docs):
-    return tokens.remove_stopwords(tokens.tokenize(one_line(docs), "text"), []).drop("text")
+def words_of(docs):
+    """``words`` beside ``text``, without empty tokens."""
+    return tokens.remove_stopwords(tokens.tokenize(one_line(docs), "text"), [])
 
 
 def corpus_words(spark, d, *keep):
     """``(doc_id, *keep, words)`` without empty tokens, documents where they are read."""
-    return _words(documents(spark, d, *keep))
+    return words_of(documents(spark, d, *keep)).drop("text")
 
 
 #: The same: words are counted where their document is read.
@@ -518,8 +519,8 @@ def keyword_lists(spark, d):
 
 def labelled_lines(spark, d, delimiter):
     """``text<delimiter>lang`` lines numbered by document."""
-    line = F.concat_ws(delimiter, F.translate("text", "\n", " "), F.col("lang"))
-    return table(spark, d, "documents").select(F.col("doc_id").alias("pos"), line.alias("value"))
+    line = F.concat_ws(delimiter, "text", "lang")
+    return one_line(documents(spark, d, "lang")).select(F.col("doc_id").alias("pos"), line.alias("value"))
 
 
 @query(

@@ -3,10 +3,9 @@
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.text import blank_or_spaced, literal_split
+from ..functions.text import WIDE_SPACE, blank_or_spaced, literal_split
 from .lookup import lookup_join
 
 # What \s matches in Java.
@@ -84,13 +83,15 @@ def segment(
 
 
 def remove_stopwords(df: DataFrame, stopwords: list[str], words: str = "words") -> DataFrame:
-    """Filter token arrays by a list held in the plan; order and copies stay."""
-    if stopwords:
-        remover = StopWordsRemover(
-            inputCol=words, outputCol="_kept", stopWords=stopwords, caseSensitive=True
-        )
-        df = remover.transform(df).drop(words).withColumnRenamed("_kept", words)
-    return df.withColumn(words, F.filter(words, lambda w: ~blank_or_spaced(w)))
+    """Filter token arrays by a list held in the plan; order and copies stay.
+
+    Words are looked at one by one for blanks only where an array holds a null or a space somewhere.
+    """
+    every = F.array_join(words, "", " ")
+    odd = F.contains(every, F.lit(" ")) | F.contains(every, F.lit(WIDE_SPACE))
+    kept = F.when(odd, F.filter(words, lambda w: ~blank_or_spaced(w))).otherwise(F.array_remove(words, ""))
+    df = df.withColumn(words, kept)
+    return df.withColumn(words, F.filter(words, lambda w: ~w.isin(list(stopwords)))) if stopwords else df
 
 
 def drop_stopwords(tokens: DataFrame, stopwords: DataFrame, word: str = "word") -> DataFrame:
