@@ -206,32 +206,24 @@ LATTICE_SQL = """
 )
 def segmented_phrases(spark, d):
     """Phrases of letters without their spaces, cut again by a dictionary of the corpus; how many ends are shared?"""
-    phrases = documents(spark, d).select(
-        "doc_id", F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit(PHRASE), 0)).alias("pos", "phrase")
-    )
-    split = phrases.withColumn("given", F.split("phrase", " "))
-    counts = materialise(segmentation.dictionary(split, "given", size=20_000, least=2), "dictionary")
-    glued = split.withColumn("glued", F.array_join("given", ""))
-    cut = segmentation.segment_runs(glued, "glued", counts, "found", run=r"\p{L}+")
-    shared = F.size(F.array_intersect(_ends("given"), _ends("found")))
-    line = F.struct("pos", F.array_join("found", " ").alias("line"))
-    sizes = (F.size("given").alias("n_given"), F.size("found").alias("n_found"))
-    rows = cut.select("doc_id", *sizes, shared.alias("shared"), line.alias("line"))
-    lines = F.transform(F.sort_array(F.collect_list("line")), lambda x: x["line"])
-    return rows.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_phrases"),
-        F.sum("n_given").alias("n_words"),
-        F.sum("n_found").alias("n_segments"),
-        F.sum("shared").alias("n_shared"),
-        F.md5(F.array_join(lines, "\n")).alias("digest"),
+    given = F.transform(F.regexp_extract_all(F.lower("text"), F.lit(PHRASE), 0), lambda p: F.split(p, " "))
+    split = documents(spark, d).select("doc_id", given.alias("given"))
+    counts = segmentation.dictionary(split.select(F.flatten("given").alias("words")), size=20_000, least=2)
+    glued = split.withColumn("glued", F.transform("given", lambda x: F.array_join(x, "")))
+    # not where phrases are empty, which would look for them twice
+    cut = segmentation.cut_runs(glued, "glued", materialise(counts, "dictionary"), "found").where(F.size("found") > 0)
+    return cut.select(
+        "doc_id",
+        F.size("given").cast("bigint").alias("n_phrases"),
+        _sum(F.transform("given", F.size)).alias("n_words"),
+        _sum(F.transform("found", F.size)).alias("n_segments"),
+        segmentation.shared_ends("given", "found").alias("n_shared"),
+        F.md5(F.array_join(F.transform("found", lambda x: F.array_join(x, " ")), "\n")).alias("digest"),
     )
 
 
-def _ends(words):
-    """Where each word of a short list ends if they are written without spaces."""
-    return F.transform(
-        F.sequence(F.lit(1), F.size(words)), lambda k: F.length(F.array_join(F.slice(words, F.lit(1), k), ""))
-    )
+def _sum(numbers):
+    return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
 @query("segmented_words")

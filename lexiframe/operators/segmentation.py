@@ -9,15 +9,17 @@ don't depend on the order of steps.
 The dictionary is a bounded table (``size`` words of at most ``longest`` characters). Tasks get it
 as a prefix trie in arrays. All runs of a batch are looked up and solved together: the trie
 is walked from every character at once, and the paths grow from the ends of the runs,
-a character of each run at a step.
+a character of each run at a step. Words leave as ranges of the bytes that came.
 """
 
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from .terms import term_totals
 
 SIZE = 200_000
 LONGEST = 12
@@ -37,11 +39,9 @@ def dictionary(
     Only words of at most ``longest`` characters with at least ``least`` occurrences.
     """
     return (
-        df.select(F.explode(words).alias("word"))
-        .where(F.length("word").between(1, longest))
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= least)
+        term_totals(df, words)
+        .where(F.length("word").between(1, longest) & (F.col("n") >= least))
+        .select("word", "n")
         .orderBy(F.desc("n"), "word")
         .limit(size)
     )
@@ -54,9 +54,14 @@ def word_costs(counts: DataFrame) -> DataFrame:
     return counts.select("word", cost(F.col("n")).alias("cost"), cost(F.lit(1)).alias("unknown"))
 
 
+def _slots(keys: np.ndarray, size: int) -> np.ndarray:
+    """Where keys are looked for first, in a table of ``size`` (a power of two) places."""
+    return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+
 @dataclass(frozen=True)
 class Trie:
-    """Arcs ``(node << 21 | character)`` in order, the node each leads to, and the cost of the word that ends there."""
+    """A hash table of arcs ``node << 21 | character`` (-1: none), the node each leads to, and the cost of the word that ends there."""
 
     arcs: np.ndarray
     nodes: np.ndarray
@@ -75,73 +80,160 @@ class Trie:
                     prefixes[word[: i + 1]] = len(prefixes)
         cost = np.full(len(prefixes), NONE, np.int64)
         cost[[prefixes[w] for w in words]] = costs
-        arcs.sort()
-        keys, nodes = (np.array([x[i] for x in arcs], np.int64) for i in (0, 1))
+        size = 1 << max(3, (4 * len(arcs)).bit_length())
+        keys, nodes = np.full(size, -1, np.int64), np.zeros(size, np.int64)
+        first = _slots(np.array([key for key, _ in arcs], np.int64), size).tolist()
+        for at, (key, node) in zip(first, arcs, strict=True):
+            while keys[at] >= 0:
+                at = (at + 1) % size
+            keys[at], nodes[at] = key, node
         return Trie(keys, nodes, cost, unknown, max(map(len, words), default=1))
 
-    def edges(self, text: np.ndarray, rest: np.ndarray) -> np.ndarray:
-        """Cost of the word of each length (row) from each place; ``rest`` characters follow in the run."""
-        found = np.full((self.longest, len(text)), NONE, np.int64)
+    def follow(self, node: np.ndarray, character: np.ndarray) -> np.ndarray:
+        """The node behind the arc of each node with each character, or -1."""
+        key = node << 21 | character
+        place, out = _slots(key, len(self.arcs)), np.full(len(key), -1, np.int64)
+        found = self.arcs[place]
+        hit = found == key
+        out[hit] = self.nodes[place[hit]]
+        at = np.flatnonzero(~hit & (found >= 0))
+        while len(at):
+            place[at] = (place[at] + 1) % len(self.arcs)
+            found = self.arcs[place[at]]
+            hit = found == key[at]
+            out[at[hit]] = self.nodes[place[at[hit]]]
+            at = at[~hit & (found >= 0)]
+        return out
+
+    def edges(self, text: np.ndarray, rest: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Places where words of each length begin, and the costs of these; ``rest`` characters are left in the run.
+
+        Every place has one of length 1.
+        """
         at, node = np.arange(len(text)), np.zeros(len(text), np.int64)
+        alone = np.full(len(text), self.unknown, np.int64)
+        places, costs = [at], [alone]
         for length in range(self.longest):
-            inside = rest[at] > length
-            at, node = at[inside], node[inside]
-            key = node << 21 | text[at + length]
-            place = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1)
-            known = self.arcs[place] == key if len(self.arcs) else np.zeros(len(key), bool)
-            at, node = at[known], self.nodes[place[known]] if len(self.arcs) else node[known]
-            found[length, at] = self.cost[node]
-        found[0] = np.minimum(found[0], np.where(found[0] == NONE, self.unknown, NONE))
-        return found
+            if length:
+                inside = rest[at] > length
+                at, node = at[inside], node[inside]
+            node = self.follow(node, text[at + length])
+            known = node >= 0
+            at, node = at[known], node[known]
+            cost = self.cost[node]
+            word = cost != NONE
+            if length:
+                places.append(at[word])
+                costs.append(cost[word])
+            else:
+                alone[at[word]] = cost[word]
+        return places, costs
+
+    def starts(self, text: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Does a word begin at each character of these runs (not empty)?"""
+        bounds = np.cumsum(sizes)
+        rest = np.repeat(bounds, sizes) - np.arange(len(text))
+        places, costs = self.edges(text, rest)
+        # the words, by falling distance from the end of their runs, then by place, then by length
+        longest = int(sizes.max(initial=0))
+        order = np.argsort(rest.astype(np.uint16) if longest < 1 << 16 else rest, kind="stable")
+        number = np.zeros(len(text), np.int64)
+        ranks = []
+        for at in places:
+            ranks.append(number[at])
+            number[at] += 1
+        first = np.zeros(len(text), np.int64)
+        first[order] = np.cumsum(number[order]) - number[order]
+        total = int(number.sum())
+        start, length, cost = np.empty(total, np.int64), np.empty(total, np.int64), np.empty(total, np.int64)
+        for n, (at, rank, given) in enumerate(zip(places, ranks, costs, strict=True), 1):
+            to = first[at] + rank
+            start[to], length[to], cost[to] = at, n, given
+        # a sum of costs and a number of words in one number, if it fits
+        bits = longest.bit_length() + 1
+        most = max(1, self.unknown, int(np.where(self.cost == NONE, 0, self.cost).max(initial=0)))
+        fits = (most * max(1, longest)) << bits < 1 << 62
+        cost = (cost if fits else cost.astype(object)) * (1 << bits) + 1
+        best = np.zeros(len(text) + 1, cost.dtype)
+        ends = start + length
+        # the end of a run is the next run's first place; there nothing follows
+        last = length == rest[start]
+        taken = np.ones(len(text), np.int64)
+        steps = np.concatenate([[0], np.cumsum(np.bincount(rest, minlength=longest + 1)[1:])]).tolist()
+        begins = np.append(first[order], total)
+        for x, y in zip(steps, steps[1:]):
+            low, high = begins[x], begins[y]
+            at = order[x:y]
+            sums = cost[low:high] + np.where(last[low:high], 0, best[ends[low:high]])
+            least = np.minimum.reduceat(sums, begins[x:y] - low)
+            best[at] = least
+            # of equal ones the last stays, which is the longest
+            equal = sums == np.repeat(least, number[at])
+            taken[start[low:high][equal]] = length[low:high][equal]
+        on = np.zeros(len(text), bool)
+        now, end = bounds - sizes, bounds
+        while len(now):
+            on[now] = True
+            now = now + taken[now]
+            inside = now < end
+            now, end = now[inside], end[inside]
+        return on
 
     def cut(self, runs: list[str]) -> list[list[str]]:
         """The words of each run (not empty)."""
-        sizes = np.fromiter(map(len, runs), np.int64, len(runs))
-        bounds = np.zeros(len(runs) + 1, np.int64)
-        np.cumsum(sizes, out=bounds[1:])
-        text = np.frombuffer("".join(runs).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        rest = np.repeat(bounds[1:], sizes) - np.arange(len(text))
-        edges = self.edges(text, rest)
-        # best sum and number of words from each place to the end of its run; the end itself has none
-        total, number = np.zeros(len(text) + 1, np.int64), np.zeros(len(text) + 1, np.int64)
-        taken = np.ones(len(text), np.int64)
-        order = np.argsort(-sizes, kind="stable")
-        ends, longer = bounds[1:][order], sizes[order]
-        for step in range(1, int(sizes.max(initial=0)) + 1):
-            at = ends[: np.searchsorted(-longer, -step, side="right")] - step
-            reach = min(step, self.longest)
-            sums, counts = np.empty((reach, len(at)), np.int64), np.empty((reach, len(at)), np.int64)
-            for length in range(1, reach + 1):
-                # past the last character nothing follows
-                more = step > length
-                sums[length - 1] = edges[length - 1, at] + (total[at + length] if more else 0)
-                counts[length - 1] = 1 + (number[at + length] if more else 0)
-            least = sums.min(axis=0)
-            counts[sums > least] = NONE
-            fewest = counts.min(axis=0)
-            length = reach - (counts == fewest)[::-1].argmax(axis=0)
-            total[at], number[at], taken[at] = least, fewest, length
-        steps, out, base = taken.tolist(), [], 0
-        for run in runs:
-            words, place = [], 0
-            while place < len(run):
-                step = steps[base + place]
-                words.append(run[place : place + step])
-                place += step
-            out.append(words)
-            base += len(run)
-        return out
+        return cut_strings(self, pa.array(runs, pa.string())).to_pylist()
+
+
+def cut_strings(trie: Trie, runs: pa.Array, is_run: np.ndarray | None = None) -> pa.ListArray:
+    """The words of each string; those that are no runs, and empty ones, are one word and none.
+
+    Words are ranges of the strings' own bytes.
+    """
+    runs = pa.concat_arrays([runs.cast(pa.large_string())])
+    offsets = np.frombuffer(runs.buffers()[1], np.int64, len(runs) + 1, 8 * runs.offset)
+    data = np.frombuffer(runs.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    begins = np.flatnonzero(data & 0xC0 != 0x80)
+    text = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4").astype(np.int64)
+    bounds = np.searchsorted(begins, offsets)
+    sizes = np.diff(bounds)
+    on = np.zeros(len(text), bool)
+    on[bounds[:-1][sizes > 0]] = True
+    chosen = np.flatnonzero(sizes > 0 if is_run is None else is_run & (sizes > 0))
+    part = np.cumsum(sizes[chosen]) // BATCH
+    for some in np.split(chosen, np.flatnonzero(np.diff(part)) + 1) if len(chosen) else ():
+        n = sizes[some]
+        at = np.arange(n.sum()) + np.repeat(bounds[some] - (np.cumsum(n) - n), n)
+        on[at] = trie.starts(text[at], n)
+    words = np.append(begins[on], len(data)).astype(np.int32)
+    found = pa.StringArray.from_buffers(len(words) - 1, pa.py_buffer(words.tobytes()), pa.py_buffer(data.tobytes()))
+    ends = np.append(0, np.cumsum(on))[bounds]
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), found)
 
 
-def _batches(runs: list[str]):
-    start, total = 0, 0
-    for i, run in enumerate(runs):
-        if total and total + len(run) > BATCH:
-            yield runs[start:i]
-            start, total = i, 0
-        total += len(run)
-    if runs:
-        yield runs[start:]
+def _lists(like: pa.ListArray, bounds: np.ndarray, values: pa.Array) -> pa.ListArray:
+    """Lists of values up to the given bounds, null where another list is."""
+    sizes = np.concatenate([[0], np.cumsum(np.asarray(like.value_lengths().fill_null(0), np.int64))])
+    mask = np.append(np.asarray(like.is_null()), False)
+    return pa.ListArray.from_arrays(pa.array(bounds[sizes].astype(np.int32), mask=mask), values)
+
+
+def _shared_trie(counts: DataFrame):
+    rows = word_costs(counts).toArrow()
+    known, costs, unknown = (rows.column(name).to_pylist() for name in ("word", "cost", "unknown"))
+    return counts.sparkSession.sparkContext.broadcast(Trie.of(known, costs, unknown[0] if unknown else 0))
+
+
+def cut_runs(df: DataFrame, runs: str, counts: DataFrame, words: str = "words") -> DataFrame:
+    """Add ``words``: the words of each run of an array, cut by :func:`dictionary` counts. No run may be null."""
+    trie = _shared_trie(counts)
+
+    @F.arrow_udf("array<array<string>>")
+    def cut(lists: pa.Array) -> pa.Array:
+        found = cut_strings(trie.value, lists.flatten())
+        return _lists(lists, np.arange(len(found) + 1), found)
+
+    return df.withColumn(words, cut(runs))
 
 
 def segment_runs(df: DataFrame, text: str, counts: DataFrame, words: str = "words", run: str = HAN) -> DataFrame:
@@ -149,22 +241,26 @@ def segment_runs(df: DataFrame, text: str, counts: DataFrame, words: str = "word
 
     ``counts`` has at most as many rows as the dictionary was made for. A null text has null words.
     """
-    rows = word_costs(counts).toArrow()
-    known, costs, unknown = (rows.column(name).to_pylist() for name in ("word", "cost", "unknown"))
-    trie = df.sparkSession.sparkContext.broadcast(Trie.of(known, costs, unknown[0] if unknown else 0))
+    trie = _shared_trie(counts)
 
     @F.arrow_udf("array<string>")
     def cut(pieces: pa.Array, is_run: pa.Array) -> pa.Array:
-        flat, flags = pieces.flatten().to_pylist(), is_run.flatten().to_pylist()
-        runs = [x for x, flag in zip(flat, flags, strict=True) if flag]
-        found = (words for batch in _batches(runs) for words in trie.value.cut(batch))
-        lists = [next(found) if flag else [x] for x, flag in zip(flat, flags, strict=True)]
-        # the words of each piece, then those of each text
-        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))])
-        sizes = np.concatenate([[0], np.cumsum(np.asarray(pieces.value_lengths().fill_null(0), np.int64))])
-        offsets = pa.array(ends[sizes], pa.int32(), mask=np.append(np.asarray(pieces.is_null()), False))
-        return pa.ListArray.from_arrays(offsets, pa.array(list(chain.from_iterable(lists)), pa.string()))
+        found = cut_strings(trie.value, pieces.flatten(), np.asarray(is_run.flatten(), bool))
+        return _lists(pieces, np.asarray(found.offsets), found.values)
 
     pieces = F.regexp_extract_all(F.col(text), F.lit(rf"{run}|(?:(?!{run})\S)+"), 0)
     is_run = F.transform(pieces, lambda p: p.rlike(f"^(?:{run})$"))
     return df.withColumn(words, cut(pieces, is_run))
+
+
+@F.arrow_udf(T.LongType())
+def shared_ends(first: pa.Array, second: pa.Array) -> pa.Array:
+    """How many ends of words two cuts (arrays of arrays) of the same runs share, over all runs of a row.
+
+    Both have the same characters in the same order, so an end is a number of characters.
+    """
+    ends = [np.cumsum(np.asarray(pc.utf8_length(x.flatten().flatten()), np.int64)) for x in (first, second)]
+    both = np.intersect1d(*ends, assume_unique=True)
+    words = np.append(0, np.cumsum(np.asarray(first.flatten().value_lengths(), np.int64)))
+    rows = words[np.append(0, np.cumsum(np.asarray(first.value_lengths(), np.int64)))]
+    return pa.array(np.diff(np.searchsorted(both, np.append(0, ends[0])[rows], "right")), pa.int64())

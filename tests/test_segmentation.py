@@ -79,3 +79,26 @@ def test_costs(spark):
     rows = {r.word: (r.cost, r.unknown) for r in segmentation.word_costs(counts).collect()}
     assert rows == {"a": (287682, 1386294), "b": (1386294, 1386294)}
     assert segmentation.word_costs(counts.where(F.lit(False))).collect() == []
+
+
+def test_runs_of_an_array_and_shared_ends(spark, monkeypatch):
+    """Rows keep their runs: no row for each run, no shuffle to bring them together."""
+    monkeypatch.setattr(segmentation, "BATCH", 4)
+    counts = spark.createDataFrame([("ab", 5), ("c", 3), ("好a", 4)], "word string, n long")
+    given = [[["a", "b"], ["ab", "c"]], [], [["好", "ab"], ["x"]], None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(given)], "id int, given array<array<string>>")
+    glued = df.withColumn("runs", F.transform("given", lambda x: F.array_join(x, ""))).coalesce(1)
+    cut = segmentation.cut_runs(glued, "runs", counts, "found")
+    out = cut.withColumn("shared", segmentation.shared_ends("given", "found"))
+    rows = {r.id: (r.found, r.shared) for r in out.where("id < 3").collect()}
+    assert rows == {0: ([["ab"], ["ab", "c"]], 3), 1: ([], 0), 2: ([["好", "ab"], ["x"]], 3)}
+    assert cut.where("id = 3").first().found is None
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sums_beyond_64_bits_and_collisions(monkeypatch):
+    """Costs that don't fit beside a number of words are summed as whole numbers of any size; full tables still find."""
+    big = 1 << 59
+    assert Trie.of(["aa", "a"], [big, big], big).cut(["aaa"]) == [["aa", "a"]]
+    monkeypatch.setattr(segmentation, "_slots", lambda keys, size: keys * 0 + size - 1)
+    assert Trie.of(["ab", "abc", "d"], [5, 4, 3], 9).cut(["abcdab", "abd"]) == [["abc", "d", "ab"], ["ab", "d"]]
