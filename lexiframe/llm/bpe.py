@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame, types as T
 
 from .words import chunks, utf8
 
-#: Distinct runs of characters, and words, whose ids a task remembers.
-REMEMBERED = 100_000
+#: Distinct runs of characters, and words, whose ids a task remembers: some 200 bytes each.
+REMEMBERED = 400_000
 #: Longest word that takes its steps together with others.
 SHORT = 64
 #: Characters whose arcs are looked up together.
@@ -378,12 +378,14 @@ class Encoder(dict):
         found = self.together(runs) if runs else []
         if found is None:
             found, odd, runs = [], odd + runs, []
-        runs += odd
-        found += [self.alone(x.decode()) for x in odd]
+        mixed = [self.alone(x.decode()) for x in odd]
         memory = self.words
-        new = [x for x in set(chain.from_iterable(found)) if type(x) is str and x not in memory]
+        new = set(chain.from_iterable(found)).union(x for words in mixed for x in words if type(x) is str)
+        new = [x for x in new if x not in memory]
         memory.update(zip(new, self.table.encode(new), strict=True))
-        for run, words in zip(runs, found, strict=True):
+        known = memory.__getitem__
+        self.update(zip(runs, [b"".join(map(known, words)) for words in found], strict=True))
+        for run, words in zip(odd, mixed, strict=True):
             self[run] = b"".join([memory[x] if type(x) is str else x for x in words])
 
 
