@@ -9,7 +9,8 @@ don't depend on the order of steps.
 The dictionary is a bounded table (``size`` words of at most ``longest`` characters). Tasks get it
 as a prefix trie in arrays. All runs of a batch are looked up and solved together: the trie
 is walked from every character at once, and the paths grow from the ends of the runs,
-a character of each run at a step. Words leave as ranges of the bytes that came.
+a character of each run at a step. Words leave as ranges of the bytes that came. Places and costs are
+held for a piece of a batch, whatever the size of the batch.
 """
 
 from dataclasses import dataclass
@@ -19,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..session import pin_batches
 from .terms import term_totals
 
 SIZE = 200_000
@@ -28,6 +30,8 @@ SCALE = 1_000_000
 HAN = r"\p{IsHan}+"
 #: Characters whose paths are found together, about.
 BATCH = 1 << 18
+#: Bytes of runs whose places are held together, about, unless a run has more.
+PIECE = 1 << 20
 NONE = np.iinfo(np.int64).max // 4
 
 
@@ -184,6 +188,12 @@ class Trie:
         return cut_strings(self, pa.array(runs, pa.string())).to_pylist()
 
 
+def _cuts(sizes: np.ndarray, limit: int) -> zip:
+    """Bounds of neighbours that are about so much together."""
+    ends = [*(np.flatnonzero(np.diff(np.cumsum(sizes) // limit)) + 1).tolist(), len(sizes)]
+    return zip([0, *ends], ends)
+
+
 def cut_strings(trie: Trie, runs: pa.Array, is_run: np.ndarray | None = None) -> pa.ListArray:
     """The words of each string; those that are no runs, and empty ones, are one word and none.
 
@@ -191,24 +201,36 @@ def cut_strings(trie: Trie, runs: pa.Array, is_run: np.ndarray | None = None) ->
     """
     runs = pa.concat_arrays([runs.cast(pa.large_string())])
     offsets = np.frombuffer(runs.buffers()[1], np.int64, len(runs) + 1, 8 * runs.offset)
-    data = np.frombuffer(runs.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
+    data = runs.buffers()[2] or pa.py_buffer(b"")
+    is_run = np.ones(len(runs), bool) if is_run is None else is_run
+    begins, sizes = [], []
+    for start, end in _cuts(np.diff(offsets), PIECE):
+        first, last = offsets[start], offsets[end]
+        piece = np.frombuffer(data, np.uint8, last - first, first) if last > first else np.zeros(0, np.uint8)
+        found, n = _cut_piece(trie, piece, offsets[start : end + 1] - first, is_run[start:end])
+        begins.append((found + first).astype(np.int32))
+        sizes.append(n)
+    words = np.append(np.concatenate(begins), offsets[-1:].astype(np.int32))
+    ends = np.append(0, np.cumsum(np.concatenate(sizes))).astype(np.int32)
+    found = pa.StringArray.from_buffers(len(words) - 1, pa.py_buffer(words), data)
+    return pa.ListArray.from_arrays(pa.array(ends), found)
+
+
+def _cut_piece(trie: Trie, data: np.ndarray, offsets: np.ndarray, is_run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin in the bytes of these strings, and how many each string has."""
     begins = np.flatnonzero(data & 0xC0 != 0x80)
     text = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4").astype(np.int64)
     bounds = np.searchsorted(begins, offsets)
     sizes = np.diff(bounds)
     on = np.zeros(len(text), bool)
     on[bounds[:-1][sizes > 0]] = True
-    chosen = np.flatnonzero(sizes > 0 if is_run is None else is_run & (sizes > 0))
+    chosen = np.flatnonzero(is_run & (sizes > 0))
     part = np.cumsum(sizes[chosen]) // BATCH
     for some in np.split(chosen, np.flatnonzero(np.diff(part)) + 1) if len(chosen) else ():
         n = sizes[some]
         at = np.arange(n.sum()) + np.repeat(bounds[some] - (np.cumsum(n) - n), n)
         on[at] = trie.starts(text[at], n)
-    words = np.append(begins[on], len(data)).astype(np.int32)
-    found = pa.StringArray.from_buffers(len(words) - 1, pa.py_buffer(words.tobytes()), pa.py_buffer(data.tobytes()))
-    ends = np.append(0, np.cumsum(on))[bounds]
-    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), found)
+    return begins[on], np.diff(np.append(0, np.cumsum(on))[bounds])
 
 
 def _lists(like: pa.ListArray, bounds: np.ndarray, values: pa.Array) -> pa.ListArray:
@@ -219,11 +241,17 @@ def _lists(like: pa.ListArray, bounds: np.ndarray, values: pa.Array) -> pa.ListA
 
 
 def _shared_trie(counts: DataFrame):
+    pin_batches(counts.sparkSession)
     rows = word_costs(counts).toArrow()
     known, costs, unknown = (rows.column(name).to_pylist() for name in ("word", "cost", "unknown"))
     return counts.sparkSession.sparkContext.broadcast(Trie.of(known, costs, unknown[0] if unknown else 0))
 
 
+def _once(cut):
+    """The function, not run once more for a filter on its result: Spark copies deterministic ones into filters."""
+    return cut.asNondeterministic()
+
+
 def cut_runs(df: DataFrame, runs: str, counts: DataFrame, words: str = "words") -> DataFrame:
     """Add ``words``: the words of each run of an array, cut by :func:`dictionary` counts. No run may be null."""
     trie = _shared_trie(counts)
@@ -233,7 +261,7 @@ def cut_runs(df: DataFrame, runs: str, counts: DataFrame, words: str = "words")
         found = cut_strings(trie.value, lists.flatten())
         return _lists(lists, np.arange(len(found) + 1), found)
 
-    return df.withColumn(words, cut(runs))
+    return df.withColumn(words, _once(cut)(runs))
 
 
 def segment_runs(df: DataFrame, text: str, counts: DataFrame, words: str = "words", run: str = HAN) -> DataFrame:
@@ -250,7 +278,7 @@ def segment_runs(df: DataFrame, text: str, counts: DataFrame, words: str = "word
 
     pieces = F.regexp_extract_all(F.col(text), F.lit(rf"{run}|(?:(?!{run})\S)+"), 0)
     is_run = F.transform(pieces, lambda p: p.rlike(f"^(?:{run})$"))
-    return df.withColumn(words, cut(pieces, is_run))
+    return df.withColumn(words, _once(cut)(pieces, is_run))
 
 
 @F.arrow_udf(T.LongType())
@@ -259,8 +287,21 @@ def shared_ends(first: pa.Array, second: pa.Array) -> pa.Array:
 
     Both have the same characters in the same order, so an end is a number of characters.
     """
+    return pa.concat_arrays([
+        _shared(first.slice(start, end - start), second.slice(start, end - start))
+        for start, end in _cuts(_strings(first)[1] + _strings(second)[1], PIECE)
+    ])
+
+
+def _strings(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """How many lists each row of lists of strings has, and how many strings."""
+    rows = np.asarray(lists.value_lengths().fill_null(0), np.int64)
+    strings = np.append(0, np.cumsum(np.asarray(lists.flatten().value_lengths().fill_null(0), np.int64)))
+    return rows, np.diff(strings[np.append(0, np.cumsum(rows))])
+
+
+def _shared(first: pa.ListArray, second: pa.ListArray) -> pa.Array:
     ends = [np.cumsum(np.asarray(pc.utf8_length(x.flatten().flatten()), np.int64)) for x in (first, second)]
     both = np.intersect1d(*ends, assume_unique=True)
-    words = np.append(0, np.cumsum(np.asarray(first.flatten().value_lengths(), np.int64)))
-    rows = words[np.append(0, np.cumsum(np.asarray(first.value_lengths(), np.int64)))]
-    return pa.array(np.diff(np.searchsorted(both, np.append(0, ends[0])[rows], "right")), pa.int64())
+    bounds = np.append(0, np.cumsum(_strings(first)[1]))
+    return pa.array(np.diff(np.searchsorted(both, np.append(0, ends[0])[bounds], "right")), pa.int64())

@@ -1,12 +1,16 @@
 """The word lattice against a plain search."""
 
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lexiframe.operators import segmentation
 from lexiframe.operators.segmentation import Trie
+from lexiframe.session import BATCH_BYTES
 
 
 def plain(run, costs, unknown, longest):
@@ -102,3 +106,54 @@ def test_sums_beyond_64_bits_and_collisions(monkeypatch):
     assert Trie.of(["aa", "a"], [big, big], big).cut(["aaa"]) == [["aa", "a"]]
     monkeypatch.setattr(segmentation, "_slots", lambda keys, size: keys * 0 + size - 1)
     assert Trie.of(["ab", "abc", "d"], [5, 4, 3], 9).cut(["abcdab", "abd"]) == [["abc", "d", "ab"], ["ab", "d"]]
+
+
+def test_a_large_batch_is_cut_in_pieces():
+    """What is held besides the words follows a piece, not the batch; rows and runs are whole."""
+    trie = Trie.of(["ab", "cd", "e"], [5, 5, 5], 9)
+    runs = pa.array(["abcde" * 40] * 40_000)
+    tracemalloc.start()
+    found = segmentation.cut_strings(trie, runs)
+    given = pa.ListArray.from_arrays(pa.array(np.arange(0, 40_001, 8, dtype=np.int32)), found)
+    shared = segmentation.shared_ends.func(given, given)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.value_lengths().unique().to_pylist() == [120] and shared.unique().to_pylist() == [8 * 120]
+    assert peak < 120 << 20
+
+
+def test_pieces_change_nothing(monkeypatch):
+    trie = Trie.of(["ab", "b", "好a"], [2, 3, 4], 9)
+    runs = pa.array(["x", "abab", "", "好a", "bab", "abb好a"], pa.string())
+    is_run = np.array([True, False, True, True, True, False])
+    lists = lambda x: pa.array(x, pa.list_(pa.list_(pa.string())))
+    one = lists([[["a", "b"], ["ab"]], [], None, [["好a", "b"], []], [["c"]]]).slice(1)
+    two = lists([[["ab"], ["a", "b"]], [], None, [["好", "ab"], []], [["c"]]]).slice(1)
+    whole = [segmentation.cut_strings(trie, runs.slice(1), is_run[1:]).to_pylist(), segmentation.shared_ends.func(one, two).to_pylist()]
+    assert whole == [[["abab"], [], ["好a"], ["b", "ab"], ["abb好a"]], [0, 0, 1, 1]]
+    monkeypatch.setattr(segmentation, "PIECE", 1)
+    assert whole == [segmentation.cut_strings(trie, runs.slice(1), is_run[1:]).to_pylist(), segmentation.shared_ends.func(one, two).to_pylist()]
+
+
+def test_a_filter_on_words_cuts_no_run_twice(spark):
+    counts = spark.createDataFrame([("ab", 5)], "word string, n long")
+    df = spark.createDataFrame([(["ab", "aab"],), ([],)], "runs array<string>")
+    out = segmentation.cut_runs(df, "runs", counts, "found").where(F.size("found") > 0)
+    texts = segmentation.segment_runs(spark.createDataFrame([("我们 x",), ("",)], "text string"), "text", counts).where(F.size("words") > 0)
+    assert [r.found for r in out.collect()] == [[["ab"], ["a", "ab"]]] and [r.words for r in texts.collect()] == [["我", "们", "x"]]
+    for x in (out, texts):
+        assert x._jdf.queryExecution().optimizedPlan().toString().count("cut(") == 1
+
+
+def test_texts_leave_in_small_batches(spark):
+    """Whatever the session had; a limit that is set stays."""
+    counts = spark.createDataFrame([("ab", 5)], "word string, n long")
+    df = spark.range(4000).select(F.array(F.repeat(F.lit("ab"), 5000)).alias("runs")).coalesce(1)
+    spark.conf.unset(BATCH_BYTES)
+    segmentation.cut_runs(df, "runs", counts)
+    sizes = df.select("runs").mapInArrow(lambda xs: (pa.RecordBatch.from_pydict({"n": [x.nbytes]}) for x in xs), "n long")
+    assert max(r.n for r in sizes.collect()) < 10 << 20
+    spark.conf.set(BATCH_BYTES, "1m")
+    segmentation.cut_runs(df, "runs", counts)
+    assert spark.conf.get(BATCH_BYTES) == "1m" and sizes.count() > 30
+    spark.conf.unset(BATCH_BYTES)
