@@ -1,9 +1,13 @@
 """Words counted in Arrow batches, and the terms that keywords leave out before the join."""
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from lexiframe.catalog import text
 from lexiframe.operators import lookup, terms, tokens
+from lexiframe.plans import training
+from lexiframe.plans.training import TrainingPlan
+from lexiframe.session import BATCH_BYTES
 
 SF = "/root/testdata/sf0.001"
 
@@ -59,3 +63,24 @@ def test_lines_are_sorted_before_they_are_cut(spark):
         models.write_lines = keep
     plan = seen[0]._jdf.queryExecution().executedPlan().toString()
     assert "split(" not in plan[plan.index("rangepartitioning") :]
+
+
+def test_words_leave_in_small_batches_and_training_rows_stay_on_disk(spark, monkeypatch):
+    """Neither batches of texts nor words of a training table add up in an executor."""
+    df = spark.createDataFrame([(i, "ab"[i % 2], ["x", "yz"[i % 2]] * 4) for i in range(20)], ["pos", "label", "words"])
+    kept, persist = [], type(df).persist
+    monkeypatch.setattr(type(df), "persist", lambda self, level: kept.append(level) or persist(self, level))
+    idf = spark.createDataFrame([("x", 9, 1.0)], ["word", "df", "idf"])
+    for job in (
+        lambda: terms.term_totals(df).count(),
+        lambda: terms.stored_term_counts(df, "pos", idf=idf, n=1).count(),
+        lambda: training.train(df, TrainingPlan("rf", "tfidf", trees=2, depth=2, size=50)),
+    ):
+        spark.conf.unset(BATCH_BYTES)
+        job()
+        assert spark.conf.get(BATCH_BYTES) == "8m"
+    spark.conf.unset(BATCH_BYTES)
+    model = training.train(df, TrainingPlan("nb", size=50))
+    assert [r.prediction == r.indexedLabel for r in model.transform(df).collect()] == [True] * 20
+    assert kept == [StorageLevel.DISK_ONLY] * 2
+    spark.conf.unset(BATCH_BYTES)
