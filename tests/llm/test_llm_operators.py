@@ -560,3 +560,35 @@ def test_runs_of_a_usual_task_are_learnt_once():
     assert all(x in encoder for x in runs)
     for run in [*list(runs)[:200], b"ab", "ab cf".encode()]:
         assert encoder[run] == np.array(lib.encode(run.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_entries_of_pairs_equal_plain_counts(monkeypatch):
+    """Logarithms are taken of large counts only; a pair alone in its context needs no sums of its own."""
+    code = scoring.Code.of([9, 5, 300, 2, 1, 70])
+    rng = np.random.default_rng(2)
+    context, symbol, of = scoring.pairs(rng.integers(0, 6, 4000), np.append(rng.integers(0, 40, 3960), np.arange(100, 140)).astype(np.uint64))
+    n = np.bincount(of) * rng.choice([0, 1, 1, 1, 60], len(context))
+    taken, plain = [], scoring._quantised
+    monkeypatch.setattr(scoring, "_quantised", lambda none, one: taken.append(len(none)) or plain(none, one))
+    found = scoring.entries(code, context, symbol, n)
+    at, node, bit = code.decisions(symbol)
+    sums = {}
+    for a, x, b in zip(at, node, bit):
+        sums.setdefault((context[a], x), [0, 0])[b] += n[a]
+    expected = [plain(*np.array(sums[context[a], x], float)[:, None])[0] for a, x in zip(at, node)]
+    assert found.tolist() == expected and found.dtype == np.int16
+    assert 0 < sum(taken) < len(found) // 2 and max(map(max, sums.values())) > 1000
+    only = context >= 100
+    assert scoring.entries(code, context[only], symbol[only], n[only]).tolist() == found[only[at]].tolist()
+    assert len(scoring.entries(code, context[:0], symbol[:0], n[:0])) == 0
+
+
+def test_shards_follow_the_texts_not_the_chunks(spark):
+    """Small partitions give small chunks; these need no more shards than the same texts in large ones."""
+    assert [scoring.shard_bits(n, 1) for n in (0, 1, scoring.SHARD - 1, scoring.SHARD, 5 * scoring.SHARD)] == [0, 0, 0, 1, 3]
+    df = spark.createDataFrame([(i, "ab " * 10 if i % 9 else None) for i in range(90)], "key long, text string")
+    for n in (1, 30):
+        found = df.repartition(n).mapInArrow(scoring._cut("text", 1 << 20), "chunk bigint, size bigint, data binary")
+        rows = found.select("size", "data").collect()
+        assert sum(r["size"] for r in rows) == 80 * 30
+        assert sum(scoring._read(bytes(r["data"])).num_rows for r in rows) == 90
