@@ -18,6 +18,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from lexiframe.llm import archives, bpe, chat, components, digests, minhash, mixing, repetition, scoring, secrets, superkmers
+from lexiframe.session import BATCH_BYTES
 
 # null, empty, blank, ties, repeated rows, null keys, a very long text, one long word
 LONG = " ".join(f"w{i % 977}" for i in range(60_000))
@@ -592,3 +593,10 @@ def test_shards_follow_the_texts_not_the_chunks(spark):
         rows = found.select("size", "data").collect()
         assert sum(r["size"] for r in rows) == 80 * 30
         assert sum(scoring._read(bytes(r["data"])).num_rows for r in rows) == 90
+
+
+def test_scored_texts_leave_in_small_batches(spark):
+    spark.conf.unset(BATCH_BYTES)
+    assert scoring.score(spark.createDataFrame([(1, "a b"), (2, "b")], "doc_id long, text string")).count() == 2
+    assert spark.conf.get(BATCH_BYTES) == "8m"
+    spark.conf.unset(BATCH_BYTES)
